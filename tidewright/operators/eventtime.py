@@ -77,10 +77,10 @@ def with_lateness(df, key, time, order, size_ms, bound_ms, lateness_ms, **cut) -
     """First firings, re-firings and late rows: ``key, window_end, tag, seq, n``.
 
     ``first``: the window's count when the watermark reaches its end. ``refire``: the count after
-    each further row that comes within the lateness. ``late``: a row after that. ``seq`` is the
-    arrival number of the row behind a re-firing or a late row.
+    each further row that comes within the lateness. ``late``: a row after that. ``seq`` is the last
+    order column of the row behind a re-firing or a late row, which must be unique.
     """
-    seq = order if isinstance(order, str) else order[0]
+    seq = order if isinstance(order, str) else order[-1]
     ordered = Ordered(df, order, **cut).running(exclusive=True, __seen=highest(time))
     end = F.col("window_end")
     before = F.col("__seen") - bound_ms - 1

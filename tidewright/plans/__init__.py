@@ -1,6 +1,17 @@
 """Every operator bound to the test tables."""
 
-from tidewright.plans import registry, rollings, rows, windowed, wordcounts  # noqa: F401
+from tidewright.plans import (  # noqa: F401
+    ends,
+    eventtimes,
+    placements,
+    registry,
+    rollings,
+    rows,
+    states,
+    user_functions,
+    windowed,
+    wordcounts,
+)
 
 
 def all_queries():
