@@ -11,9 +11,16 @@ def to_every(df: DataFrame, n: int) -> DataFrame:
     return copies.repartitionById(n, "pid")
 
 
-def custom(df: DataFrame, n: int, partition: Column) -> DataFrame:
-    """The partition number is the value of an expression in 0..n-1."""
-    return df.repartitionById(n, partition.cast("int"))
+def custom(df: DataFrame, n: int, partition: Column, spread: int = 1, name: str = "pid") -> DataFrame:
+    """Rows to the partition an expression names, 0..n-1, kept in the column ``name``.
+
+    With ``spread`` each named partition is that many tasks, so a common value is not one task's work.
+    """
+    place = partition.cast("int")
+    if spread > 1:
+        place = place * spread + F.floor(F.rand(0) * spread).cast("int")
+    placed = df.repartitionById(n * spread, place)
+    return placed.withColumn(name, F.floor(F.spark_partition_id() / spread).cast("int"))
 
 
 def by_value(column: str, numbers: dict[str, int], otherwise: int = 0) -> Column:

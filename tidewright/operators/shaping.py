@@ -83,8 +83,9 @@ def iterate_until(
 ) -> DataFrame:
     """A feedback loop: every value takes the step, and takes it again while ``again`` holds.
 
-    A round does up to ``steps_per_round`` steps inside one expression, then the rows still in the
-    loop are cut from their lineage in the shared folder. Rows leave the loop as they finish.
+    A round does up to ``steps_per_round`` steps inside one expression. Only the rows still in the
+    loop after it are written to the shared folder, which cuts their lineage; the finished ones stay
+    an expression of their input.
     """
     kind = df.schema[value].dataType
     typed = lambda c: step(c).cast(kind)
@@ -97,10 +98,10 @@ def iterate_until(
     finished = None
     active = df
     for _ in range(most_rounds):
-        stepped = materialise(active.withColumn(value, round_of(F.col(value))))
+        stepped = active.withColumn(value, round_of(F.col(value)))
+        active = materialise(stepped.where(again(F.col(value))))
         done = stepped.where(~again(F.col(value)))
         finished = done if finished is None else finished.unionByName(done)
-        active = stepped.where(again(F.col(value)))
         if active.isEmpty():
             return finished
     raise RuntimeError(f"rows are still in the loop after {most_rounds} rounds of {steps_per_round} steps")

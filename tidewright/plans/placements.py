@@ -22,11 +22,15 @@ def part_broadcast(t):
     return place.with_partition(place.to_every(t.nation.select("n_nationkey", "n_name"), 3), "placed")
 
 
+def parallelism(t) -> int:
+    return int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("part_custom", """select event_id, event_type, case event_type when 'click' then 1 when 'view' then 2
   when 'error' then 3 else 0 end::integer as pid from events""")
 def part_custom(t):
     events = t.events.select("event_id", "event_type")
-    return place.with_partition(place.custom(events, 4, place.by_value("event_type", NUMBERS)))
+    return place.custom(events, 4, place.by_value("event_type", NUMBERS), max(parallelism(t) // 4, 1))
 
 
 @query("part_forward", "select event_id from events")
@@ -41,27 +45,33 @@ def part_global(t):
     return place.with_partition(place.to_first(counts))
 
 
-def spread_evenly(placed):
-    """How many rows there are, in how many partitions."""
+def spread(placed, n: int):
+    """How many rows there are, and whether all of ``n`` partitions hold some."""
     sizes = per_task_counts(placed)
-    return sizes.agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("partitions"))
+    return sizes.agg(F.sum("rows").alias("n"), (F.count(F.lit(1)) == n).alias("everywhere"))
+
+
+ABOVE = "select count(*) as n, true as everywhere from lineitem where l_quantity > 8"
 
 
-ABOVE = "select count(*) as n, 8::bigint as partitions from lineitem where l_quantity > 8"
+def above_8(t):
+    return above(t.lineitem.select("l_quantity"), "l_quantity", 8)
 
 
 @query("part_rebalance", ABOVE)
 def part_rebalance(t):
-    return spread_evenly(place.rebalance(above(t.lineitem.select("l_quantity"), "l_quantity", 8), 8))
+    n = parallelism(t)
+    return spread(place.rebalance(above_8(t), n), n)
 
 
-@query("part_rescale", "select count(*) as n, 2::bigint as partitions from lineitem where l_quantity > 8")
+@query("part_rescale", ABOVE)
 def part_rescale(t):
-    """Up to 8 partitions round-robin, then down to 2 by merging neighbours."""
-    eight = place.rebalance(above(t.lineitem.select("l_quantity"), "l_quantity", 8), 8)
-    return spread_evenly(place.rescale(eight, 2))
+    """Round-robin, then half as many partitions by merging neighbours."""
+    n = max(parallelism(t) // 2, 1)
+    return spread(place.rescale(place.rebalance(above_8(t), 2 * n), n), n)
 
 
 @query("part_shuffle", ABOVE)
 def part_shuffle(t):
-    return spread_evenly(place.shuffle(above(t.lineitem.select("l_quantity"), "l_quantity", 8), 8))
+    n = parallelism(t)
+    return spread(place.shuffle(above_8(t), n), n)

@@ -14,7 +14,8 @@ from tidewright.sources.generators import offset_counter
 from tidewright.sources.streams import table_stream
 from tidewright.streaming import metrics, rules, state
 from tidewright.streaming.changelog import running_sum_body
-from tidewright.streaming.tables import BatchOutput, VersionedTable, drain, finish, run_batches
+from tidewright.streaming.tables import BatchOutput, VersionedTable, finish, run_batches
+
 
 def event_values(t):
     return table_stream(t.spark, t.path("events")).select("event_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
@@ -69,23 +70,23 @@ def recovered_counter(t):
 
     from pyspark.errors import StreamingQueryException
 
-    step = max(last // 4, 1)
+    step, tasks = max(last // 4, 1), t.spark.sparkContext.defaultParallelism
     try:
-        run(state.guarded(offset_counter(t.spark, last, step, 4), F.col("n") == last // 2 + 1))
+        run(state.guarded(offset_counter(t.spark, last, step, tasks), F.col("n") == last // 2 + 1))
     except StreamingQueryException:
         pass
-    run(offset_counter(t.spark, last, step, 4))
+    run(offset_counter(t.spark, last, step, tasks))
     return t.spark.read.schema("n bigint").parquet(f"{base}/rows")
 
 
 RULES = """(select n_nationkey as id, n_name || '#' || d as rule, timestamp '2024-01-01' + interval 1 day * d as since
-  from nation, range(1, 30) as days(d) where (n_nationkey + d) % 3 <> 0)"""
+  from nation, range(1, 30) as days(d) where n_regionkey <> d % 5)"""
 
 
 def rule_sets(t):
-    """A set of rules per day from the second day on; each set leaves out a third of the ids."""
+    """A set of rules per day from the second day on; each set leaves out the ids of one region."""
     day = F.explode(F.sequence(F.lit(1), F.lit(29)))
-    spread = t.nation.withColumn("d", day).where((F.col("n_nationkey") + F.col("d")) % 3 != 0)
+    spread = t.nation.withColumn("d", day).where(F.col("n_regionkey") != F.col("d") % 5)
     since = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.col("d"))
     return spread.select(
         F.col("n_nationkey").alias("id"),
@@ -120,12 +121,7 @@ def state_queryable_value(t):
     """Sums kept by a stream, then read from its state store."""
     cents = F.round(F.col("value") * 100).cast("bigint")
     sums = table_stream(t.spark, t.path("events")).groupBy("event_type").agg(F.sum(cents).alias("total"))
-    checkpoint = new_dir(t.spark, "queryable")
-    finish(
-        sums.writeStream.outputMode("update").format("noop").trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint).start()
-    )
-    return state.state_rows(t.spark, checkpoint).select("key.event_type", F.col("value.sum").alias("total"))
+    return state.kept_in_state(sums, new_dir(t.spark, "queryable")).withColumnRenamed("sum", "total")
 
 
 @query("state_queryable_stream", """select event_type, max(time_bucket(interval 1 hour, ts)) as window_start,
@@ -174,9 +170,9 @@ def state_local_counter(t):
 def checkpoint_resume(t):
     """A run that fails at large values, and one that goes on from its checkpoint without the check."""
     stream = table_stream(t.spark, t.path("events")).select("event_type", "value")
-    counts = lambda rows: rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    first = counts(state.guarded(stream, F.col("value") > 100))
-    return state.run_then_resume(first, counts(stream), "resume", "complete", new_dir(t.spark, "checkpoint"))
+    checked = state.guarded(stream, F.col("value") > 100)
+    first, second = (rows.groupBy("event_type").agg(F.count(F.lit(1))) for rows in (checked, stream))
+    return state.run_then_resume(first, second, new_dir(t.spark, "checkpoint")).withColumnRenamed("count", "n")
 
 
 @query("savepoint_resume", f"""select event_id, event_type, cast(sum(value) over (partition by event_type)

@@ -82,7 +82,8 @@ def udf_comap(t):
 @query("udf_partitioner", "select o_orderkey, (o_orderkey % 3)::integer as pid from orders")
 def udf_partitioner(t):
     orders = t.orders.select("o_orderkey")
-    return place.with_partition(place.custom(orders, 3, F.col("o_orderkey") % 3))
+    spread = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")) // 3, 1)
+    return place.custom(orders, 3, F.col("o_orderkey") % 3, spread)
 
 
 @query("udf_keyselector", f"""select upper(substr(event_type, 1, 1)) as initial, cast(sum(value) as double) as total

@@ -12,7 +12,8 @@ from tidewright.session import new_dir
 from tidewright.sinks.files import as_text
 from tidewright.sources.bounded import text_lines
 from tidewright.sources.streams import file_tail, table_stream, text_stream
-from tidewright.streaming.tables import VersionedTable, drain, finish
+from tidewright.streaming.state import kept_in_state
+from tidewright.streaming.tables import Folder
 
 SPLIT = """case when {t} <> '' and rtrim({t}, ' ') = '' then [] else string_split(rtrim({t}, ' '), ' ') end"""
 WORDS = f"select unnest({SPLIT.format(t='text')}) as word from documents"
@@ -41,7 +42,7 @@ def wordcount_unified(t):
 @query("wordcount_stream", COUNTS)
 def wordcount_stream(t):
     stream = table_stream(t.spark, t.path("documents")).select(F.col("text").alias("value"))
-    return drain(word_count(stream), "wordcount", "complete")
+    return kept_in_state(word_count(stream), new_dir(t.spark, "wordcount"))
 
 
 @query("flatmap_words", WORDS)
@@ -66,44 +67,37 @@ def src_text(t):
 
 @query("src_text_once", LINE_COUNTS)
 def src_text_once(t):
-    return drain(word_count(text_stream(t.spark, lines_folder(t))), "once", "complete")
+    return kept_in_state(word_count(text_stream(t.spark, lines_folder(t))), new_dir(t.spark, "once"))
 
 
 @query("src_text_continuous", LINE_COUNTS)
 def src_text_continuous(t):
     """A 2 s trigger that would go on for ever; stopped here once it has read the files there are."""
     counts = word_count(text_stream(t.spark, lines_folder(t)))
-    base = new_dir(t.spark, "continuous")
-    table = VersionedTable(t.spark, f"{base}/rows")
-    running = (
-        counts.writeStream.outputMode("complete")
-        .trigger(processingTime="2 seconds")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .foreachBatch(lambda batch, batch_id: table.write(batch_id, batch))
-        .start()
-    )
-    try:
-        running.processAllAvailable()
-    finally:
-        running.stop()
-    return table.latest(counts.schema)
+    return kept_in_state(counts, new_dir(t.spark, "continuous"), {"processingTime": "2 seconds"})
+
+
+def eighth(t, folder: str) -> int:
+    """Files per batch, for about eight batches whatever the number of files."""
+    return max(sum(name.startswith("part-") for name in Folder(t.spark, folder).names()) // 8, 1)
 
 
 @query("src_socket_text", LINE_COUNTS)
 def src_socket_text(t):
     """The socket word count; the lines come from a file stream, since no port is opened."""
-    return drain(word_count(text_stream(t.spark, lines_folder(t), 4)), "socket", "complete")
+    folder = lines_folder(t)
+    return kept_in_state(word_count(text_stream(t.spark, folder, eighth(t, folder))), new_dir(t.spark, "socket"))
 
 
 @query("src_file_tail", f"""select word, count(*) as "count" from (
   select unnest({SPLIT.format(t='value')}) as word from ({LINES})
   where regexp_replace(value, '[\\s\\x1c-\\x1f]+', '', 'g') <> '') group by word""")
 def src_file_tail(t):
-    """One file per batch."""
-    return drain(word_count(file_tail(t.spark, lines_folder(t))), "tail", "complete")
+    """A few files per batch, blank lines left out."""
+    folder = lines_folder(t)
+    return kept_in_state(word_count(file_tail(t.spark, folder, eighth(t, folder))), new_dir(t.spark, "tail"))
 
 
 @query("sink_text", LINES)
 def sink_text(t):
-    path = as_text(t.documents.select("text"), new_dir(t.spark, "text"), files=4)
-    return text_lines(t.spark, path)
+    return text_lines(t.spark, as_text(t.documents.select("text"), new_dir(t.spark, "text")))

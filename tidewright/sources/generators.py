@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import random
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
@@ -15,23 +15,25 @@ from pyspark.sql.datasource import (
 )
 
 BATCH_ROWS = 8192
+TASK_ROWS = 128 * BATCH_ROWS
 
 
-class Instance(InputPartition):
-    def __init__(self, number: int):
-        self.number = number
+class Span(InputPartition):
+    """Rows ``first`` to ``end - 1`` of an instance."""
 
+    def __init__(self, instance: int, first: int, end: int):
+        self.instance, self.first, self.end = instance, first, end
 
-class Span(InputPartition):
-    def __init__(self, first: int, last: int):
-        self.first, self.last = first, last
+
+def spans(instance: int, first: int, end: int, size: int) -> list[Span]:
+    return [Span(instance, a, min(a + size, end)) for a in range(first, end, size)]
 
 
 class OrderGenerator(DataSource):
     """Made-up orders. Options: ``instances``, ``rows`` per instance, ``seed``, ``start_ms``.
 
     A batch of rows is drawn from (seed, instance, batch number), so a task that is run again makes
-    the same rows.
+    the same rows, and a large instance can be several tasks.
     """
 
     @classmethod
@@ -53,35 +55,38 @@ class OrderReader(DataSourceReader):
         self.start_ms = int(options.get("start_ms", 0))
 
     def partitions(self):
-        return [Instance(i) for i in range(self.instances)]
+        parts = [span for i in range(self.instances) for span in spans(i, 0, self.rows, TASK_ROWS)]
+        return parts or [Span(0, 0, 0)]
 
-    def open(self, instance: int):
-        """What an instance sets up once before its first row."""
+    def open(self, instance: int) -> dict:
+        """What a task sets up once before its first row."""
         return {"instance": instance, "open": True}
 
-    def close(self, resource) -> None:
+    def close(self, resource: dict) -> None:
         resource["open"] = False
 
     def read(self, partition):
-        resource = self.open(partition.number)
+        resource = self.open(partition.instance)
         try:
-            for first in range(0, self.rows, BATCH_ROWS):
-                yield self._batch(resource["instance"], first, min(first + BATCH_ROWS, self.rows))
+            for first in range(partition.first, partition.end, BATCH_ROWS):
+                yield self._batch(resource["instance"], first, min(first + BATCH_ROWS, partition.end))
         finally:
             self.close(resource)
 
     def _batch(self, instance: int, first: int, end: int) -> pa.RecordBatch:
-        draw = random.Random(f"{self.seed}/{instance}/{first}")
+        draw = np.random.default_rng([self.seed, instance, first])
         size = end - first
-        numbers = list(range(first, end))
+        numbers = np.arange(first, end, dtype=np.int64)
+        digits = draw.bytes(16 * size).hex()
+        ids = [str(uuid.UUID(hex=digits[i : i + 32])) for i in range(0, 32 * size, 32)]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([instance] * size, pa.int32()),
-                pa.array(numbers, pa.int64()),
-                pa.array([str(uuid.UUID(int=draw.getrandbits(128))) for _ in numbers]),
-                pa.array([str(draw.randrange(3)) for _ in numbers]),
-                pa.array([draw.randrange(1000) for _ in numbers], pa.int32()),
-                pa.array([self.start_ms + n * 1000 for n in numbers], pa.int64()),
+                pa.array(np.full(size, instance, dtype=np.int32)),
+                pa.array(numbers),
+                pa.array(ids),
+                pa.array(draw.integers(0, 3, size).astype(str)),
+                pa.array(draw.integers(0, 1000, size, dtype=np.int32)),
+                pa.array(numbers * 1000 + self.start_ms),
             ],
             names=["instance", "n", "id", "user_id", "money", "ts"],
         )
@@ -121,13 +126,13 @@ class CounterReader(DataSourceStreamReader):
     def partitions(self, start, end):
         self.at = max(self.at or 0, end["n"])
         first, size = start["n"] + 1, end["n"] - start["n"]
-        share = -(-size // self.tasks) if size > 0 else 1
-        return [Span(a, min(a + share - 1, end["n"])) for a in range(first, end["n"] + 1, share)] or [Span(1, 0)]
+        share = max(-(-size // self.tasks), 1)
+        return spans(0, first, end["n"] + 1, share) or [Span(0, 1, 1)]
 
     def read(self, partition):
-        for a in range(partition.first, partition.last + 1, BATCH_ROWS):
-            values = pa.array(range(a, min(a + BATCH_ROWS, partition.last + 1)), pa.int64())
-            yield pa.RecordBatch.from_arrays([values], names=["n"])
+        for a in range(partition.first, partition.end, BATCH_ROWS):
+            values = np.arange(a, min(a + BATCH_ROWS, partition.end), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(values)], names=["n"])
 
     def commit(self, end):
         pass

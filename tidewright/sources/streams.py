@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewright.functions.text import is_blank
+
 
 def glob(path: str) -> str:
     """A pattern for just this path: the file source of a stream wants a folder or a pattern."""
@@ -31,11 +33,9 @@ def text_stream(spark: SparkSession, folder: str, files_per_batch: int | None =
     return reader.text(folder)
 
 
-def file_tail(spark: SparkSession, folder: str) -> DataFrame:
-    """One file per batch, blank lines left out."""
-    from tidewright.functions.text import is_blank
-
-    return text_stream(spark, folder, 1).where(~is_blank(F.col("value")))
+def file_tail(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
+    """A file per batch, or a few, with blank lines left out."""
+    return text_stream(spark, folder, files_per_batch).where(~is_blank(F.col("value")))
 
 
 def socket_text(spark: SparkSession, host: str, port: int) -> DataFrame:

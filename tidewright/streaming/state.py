@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewright.streaming.tables import drain
+from tidewright.session import use_rocksdb
+from tidewright.streaming.tables import finish
 
 
 def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0, variable: str | None = None) -> DataFrame:
@@ -27,12 +29,29 @@ def guarded(df: DataFrame, poison: Column, message: str = "poison row") -> DataF
     return df.where(F.when(poison, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True)))
 
 
-def run_then_resume(first: DataFrame, second: DataFrame, label: str, mode: str, checkpoint: str) -> DataFrame:
-    """Run ``first`` until it fails or ends, then go on with ``second`` from the same checkpoint."""
-    from pyspark.errors import StreamingQueryException
+def kept_in_state(aggregate: DataFrame, checkpoint: str, trigger: dict | None = None) -> DataFrame:
+    """Run an aggregate over all there is and read the result from its state: keys and buffers.
+
+    Each batch touches only the keys it changes; the whole result is read once, at the end. A count
+    is in the column ``count``, a sum in ``sum``.
+    """
+    use_rocksdb(aggregate.sparkSession)
+    writer = aggregate.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
+    if trigger:
+        running = writer.trigger(**trigger).start()
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+    else:
+        finish(writer.trigger(availableNow=True).start())
+    return state_rows(aggregate.sparkSession, checkpoint).select("key.*", "value.*")
 
+
+def run_then_resume(first: DataFrame, second: DataFrame, checkpoint: str) -> DataFrame:
+    """Run ``first`` until it fails or ends, then go on with ``second`` from the same checkpoint."""
     try:
-        drain(first, f"{label}-1", mode, checkpoint)
+        kept_in_state(first, checkpoint)
     except StreamingQueryException:
         pass
-    return drain(second, f"{label}-2", mode, checkpoint)
+    return kept_in_state(second, checkpoint)

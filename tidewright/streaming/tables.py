@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewright.session import new_dir
+from tidewright.session import new_dir, use_rocksdb
 
 
 class Folder:
@@ -85,28 +85,19 @@ class BatchOutput:
         return self.spark.read.schema(f"{schema}, batch int").parquet(self.path)
 
 
-def drain(stream: DataFrame, label: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
-    """Run a stream over all there is and return its result table.
-
-    ``append`` writes rows as they are final. ``complete`` keeps the last whole result.
-    """
-    spark = stream.sparkSession
+def drain(stream: DataFrame, label: str, checkpoint: str | None = None) -> DataFrame:
+    """Run a stream over all there is, in append mode, and return the rows it wrote."""
+    spark = use_rocksdb(stream.sparkSession)
     out = new_dir(spark, label)
-    writer = stream.writeStream.outputMode(mode).trigger(availableNow=True)
+    writer = stream.writeStream.outputMode("append").trigger(availableNow=True)
     writer = writer.option("checkpointLocation", checkpoint or f"{out}/checkpoint")
-    if mode == "append":
-        query = writer.format("parquet").option("path", f"{out}/rows").start()
-        finish(query)
-        return spark.read.schema(stream.schema).parquet(f"{out}/rows")
-    if mode != "complete":
-        raise ValueError("mode is append or complete; keep updates with sinks.keyed.upsert_into")
-    table = VersionedTable(spark, f"{out}/rows")
-    finish(writer.foreachBatch(lambda batch, batch_id: table.write(batch_id, batch)).start())
-    return table.latest(stream.schema)
+    finish(writer.format("parquet").option("path", f"{out}/rows").start())
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
 def run_batches(stream: DataFrame, body, checkpoint: str, mode: str = "append") -> None:
     """Give every batch of the stream to ``body(batch, batch_id)``."""
+    use_rocksdb(stream.sparkSession)
     writer = stream.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", checkpoint)
     finish(writer.foreachBatch(body).start())
 
