@@ -29,7 +29,8 @@ def brute(data, exclusive):
 def sliced(spark, data, exclusive, keys=("k",), limit=7):
     df = spark.createDataFrame(data, "k string, seq bigint, v bigint")
     ordered = Ordered(df, "seq", list(keys), rows_per_slice=limit)
-    out = ordered.running(exclusive, s=total("v"), n=rows(), lo=lowest("v"), hi=highest("v"))
+    wanted = {"s": total("v"), "n": rows(), "lo": lowest("v"), "hi": highest("v")}
+    out = ordered.running(wanted) if exclusive else ordered.running(**wanted)
     return ordered, {(r.k, r.seq): (r.s, r.n, r.lo, r.hi) for r in out.rows().collect()}
 
 

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from oracle import DATA, connect, differences
-from tidewright.operators import windows
+from tidewright.operators import ordered, windows
 
 FOLDER = f"{DATA}/sf0.001"
 PYTHON = ("ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups", "BatchEvalPython", "PythonDataSource")
@@ -68,4 +68,22 @@ def test_windows_over_rows_are_sliced(spark, keys):
     over = [line for line in plan(out).splitlines() if "Window [" in line]
     assert len(over) == 2
     assert sum("__slice0" in line and "event_id" in line for line in over) == 1
-    assert sum("__at0" in line for line in over) == 1
+    assert sum("__of___slice0" in line for line in over) == 1
+
+
+CUT = [
+    "rolling_sum", "rolling_min", "rolling_max", "rolling_minby", "rolling_maxby", "rolling_reduce", "sink_output_format",
+    "win_session_all", "win_session_keyed", "win_tumbling_count_all", "win_tumbling_count_keyed", "win_sliding_count_all",
+    "win_sliding_count_keyed", "wf_process_context", "wf_process_avg", "wm_periodic_custom", "wm_punctuated_custom",
+    "wm_aligned_parallel", "wm_idle_source", "late_drop", "late_allowed", "late_side_output", "state_value_ttl",
+    "state_value_sum", "savepoint_resume", "state_broadcast_enrich",
+]
+
+
+@pytest.mark.parametrize("name", CUT)
+def test_query_over_slices(spark, db, monkeypatch, name):
+    """The same results when nearly every group is too large for a task."""
+    monkeypatch.setattr(ordered, "ROWS_FLOOR", 15)
+    monkeypatch.setattr(ordered, "ROWS_CEILING", 40)
+    df = contract.queries()[name](spark, FOLDER)
+    assert differences(df, db, contract.oracle_sql()[name]) == []

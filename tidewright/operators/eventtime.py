@@ -38,7 +38,7 @@ def window_end(t: Column, size_ms: int) -> Column:
 
 def before_each_row(df: DataFrame, time: str, order, bound_ms: int, **cut) -> DataFrame:
     """Add ``wm_before``: the highest time of the rows before, less the bound, less 1 ms."""
-    return Ordered(df, order, **cut).running(exclusive=True, __seen=highest(time)).rows().withColumn(
+    return Ordered(df, order, **cut).running({"__seen": highest(time)}).rows().withColumn(
         "wm_before", F.col("__seen") - bound_ms - 1
     ).drop("__seen")
 
@@ -81,7 +81,7 @@ def with_lateness(df, key, time, order, size_ms, bound_ms, lateness_ms, **cut) -
     order column of the row behind a re-firing or a late row, which must be unique.
     """
     seq = order if isinstance(order, str) else order[-1]
-    ordered = Ordered(df, order, **cut).running(exclusive=True, __seen=highest(time))
+    ordered = Ordered(df, order, **cut).running({"__seen": highest(time)})
     end = F.col("window_end")
     before = F.col("__seen") - bound_ms - 1
     marked = ordered.rows().withColumn("window_end", window_end(F.col(time), size_ms)).withColumn(
@@ -112,7 +112,7 @@ def periodic(df, key, time, arrival_ms, size_ms, period_ms) -> DataFrame:
     period = F.floor(F.col(arrival_ms) / period_ms).cast("long")
     marked = df.withColumn("__period", period)
     sent = Ordered(marked.groupBy("__period").agg(F.max(time).alias("__high")), "__period").running(
-        exclusive=True, __seen=highest("__high")
+        {"__seen": highest("__high")}
     ).rows()
     joined = marked.join(sent.select("__period", (F.col("__seen") - 1).alias("wm_before")), "__period", "left")
     return fire_once(joined, key, time, size_ms, "wm_before", _highest_time(df, time) - 1)
@@ -122,9 +122,9 @@ def punctuated(df, key, time, order, size_ms, **cut) -> DataFrame:
     """Windows under a watermark sent with every event, from the highest time *before* that event."""
     names = [order] if isinstance(order, str) else list(order)
     place = F.struct(*names, F.col(time).alias("__time"))
-    ordered = Ordered(df, order, **cut).running(exclusive=True, __prior=highest(place))
+    ordered = Ordered(df, order, **cut).running({"__prior": highest(place)})
     ordered = ordered.with_columns(__prior=F.col("__prior.__time"))
-    lagged = ordered.running(exclusive=True, __seen=highest("__prior")).rows()
+    lagged = ordered.running({"__seen": highest("__prior")}).rows()
     marked = lagged.withColumn("wm_before", F.col("__seen") - 1)
     last_row = df.agg(F.max(F.struct(*names))).scalar()
     last_wm = df.where(F.struct(*names) < last_row).agg(F.max(time) - 1).scalar()
@@ -140,7 +140,7 @@ def _minimum(parts: list[Column]) -> Column:
 def aligned(df, key, time, order, source, inputs: int, size_ms, bound_ms, **cut) -> DataFrame:
     """Windows under the minimum of the watermarks of ``inputs`` inputs (``source`` is 0..inputs-1)."""
     per_input = {f"__in{i}": highest(F.when(F.col(source) == i, F.col(time))) for i in range(inputs)}
-    marked = Ordered(df, order, **cut).running(exclusive=True, **per_input).rows().withColumn(
+    marked = Ordered(df, order, **cut).running(per_input).rows().withColumn(
         "wm_before", _minimum([F.col(c) for c in per_input]) - bound_ms - 1
     )
     last = df.agg(*[F.max(F.when(F.col(source) == i, F.col(time))).alias(f"__in{i}") for i in range(inputs)])
@@ -166,6 +166,6 @@ def with_idleness(df, key, time, order, source, inputs: int, tick, size_ms, boun
     least = F.least(*parts) if inputs > 1 else parts[0]
     ordered = Ordered(df, order, **cut).running(**highs, **ticks).with_columns(__start=start)
     ordered = ordered.with_columns(__wm=F.when(~anyone_waiting, least) - bound_ms - 1)
-    marked = ordered.running(exclusive=True, wm_before=highest("__wm")).rows()
+    marked = ordered.running({"wm_before": highest("__wm")}).rows()
     last_wm = ordered.rows().agg(F.max("__wm")).scalar()
     return fire_once(marked, key, time, size_ms, "wm_before", last_wm)

@@ -43,7 +43,7 @@ def rule_versions(rules: DataFrame, since: str) -> DataFrame:
     """
     times = rules.select(since).distinct()
     times = times.withColumn("__back", -order_number(times, since))
-    following = Ordered(times, "__back").running(exclusive=True, until=lowest(since)).rows().drop("__back")
+    following = Ordered(times, "__back").running({"until": lowest(since)}).rows().drop("__back")
     return rules.join(following, since).withColumnRenamed(since, "since")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidewright.session import materialise
 
-ROWS_FLOOR = 1 << 16
+ROWS_FLOOR = 1 << 18
 ROWS_CEILING = 1 << 22
 MOST_GROUPS = 1 << 16
 MOST_LEVELS = 8
@@ -143,24 +143,26 @@ class Ordered:
         """Add row-wise columns; the slices stay as they are."""
         return self._like(self.df.withColumns(columns))
 
-    def running(self, exclusive: bool = False, **aggregates: Running) -> "Ordered":
-        """Add each aggregate over the rows up to this one, or before this one if ``exclusive``."""
-        end = -1 if exclusive else Window.currentRow
-        inside = (
-            Window.partitionBy(*self.keys, *self.levels)
-            .orderBy(*self.order)
-            .rowsBetween(Window.unboundedPreceding, end)
+    def running(self, before: dict[str, Running] | None = None, **up_to: Running) -> "Ordered":
+        """Add aggregates over the rows up to this one, and those of ``before`` over the rows before it."""
+        before = before or {}
+        by = Window.partitionBy(*self.keys, *self.levels).orderBy(*self.order)
+        ends = {name: Window.currentRow for name in up_to} | {name: -1 for name in before}
+        wanted = {**up_to, **before}
+        result = self.df.withColumns(
+            {
+                name: _AGGREGATE[a.kind](a.column).over(by.rowsBetween(Window.unboundedPreceding, ends[name]))
+                for name, a in wanted.items()
+            }
         )
-        here = {name: _AGGREGATE[a.kind](a.column).over(inside) for name, a in aggregates.items()}
-        result = self.df.withColumns(here)
         if self.levels:
             earlier = (
-                Window.partitionBy(*[f"__key{i}" for i in range(len(self.keys))])
-                .orderBy(*[f"__at{i}" for i in range(len(self.levels))])
+                Window.partitionBy(*self._aliases()[: len(self.keys)])
+                .orderBy(*self._aliases()[len(self.keys) :])
                 .rowsBetween(Window.unboundedPreceding, -1)
             )
-            result = self._carry(result, aggregates, earlier)
-        return self._like(self._filled(result, aggregates))
+            result = self._carry(result, wanted, earlier)
+        return self._like(self._filled(result, wanted))
 
     def whole(self, **aggregates: Running) -> "Ordered":
         """Add each aggregate over all rows of the key to every row, without another shuffle."""
@@ -168,32 +170,39 @@ class Ordered:
         here = {name: _AGGREGATE[a.kind](a.column).over(inside) for name, a in aggregates.items()}
         result = self.df.withColumns(here)
         if self.levels:
-            others = Window.partitionBy(*[f"__key{i}" for i in range(len(self.keys))])
+            others = Window.partitionBy(*self._aliases()[: len(self.keys)])
             result = self._carry(result, aggregates, others, replace=True)
         return self._like(self._filled(result, aggregates))
 
+    def _aliases(self) -> list[str]:
+        """Names of keys and levels in the table of slices."""
+        return [f"__of_{c}" for c in self.keys + self.levels]
+
     def _carry(self, result, aggregates, window, replace=False) -> DataFrame:
-        names = self.keys + self.levels
-        alias = [f"__key{i}" for i in range(len(self.keys))] + [f"__at{i}" for i in range(len(self.levels))]
+        """Join what the other slices add up to; the table of slices has a row per slice of a cut group."""
+        names, alias = self.keys + self.levels, self._aliases()
         slices = (
             self.df.where(F.col(self.levels[0]).isNotNull())
             .groupBy(*[F.col(c).alias(a) for c, a in zip(names, alias)])
-            .agg(*[_AGGREGATE[a.kind](a.column).alias(f"__{name}") for name, a in aggregates.items()])
+            .agg(*[_AGGREGATE[a.kind](a.column).alias(name) for name, a in aggregates.items()])
         )
         carry = slices.select(
             *alias,
-            *[_AGGREGATE[a.kind](F.col(f"__{name}")).over(window).alias(f"__c_{name}") for name, a in aggregates.items()],
+            *[
+                _AGGREGATE[a.kind](F.col(name)).over(window).alias(f"__carry_{name}")
+                for name, a in aggregates.items()
+            ],
         )
         same = _all([result[c].eqNullSafe(carry[a]) for c, a in zip(names, alias)])
         joined = result.join(F.broadcast(carry), same, "left")
         return joined.withColumns(
             {
-                name: F.coalesce(F.col(f"__c_{name}"), F.col(name))
+                name: F.coalesce(F.col(f"__carry_{name}"), F.col(name))
                 if replace
-                else _continue(a.kind, F.col(f"__c_{name}"), F.col(name))
+                else _continue(a.kind, F.col(f"__carry_{name}"), F.col(name))
                 for name, a in aggregates.items()
             }
-        ).drop(*alias, *[f"__c_{name}" for name in aggregates])
+        ).drop(*alias, *[f"__carry_{name}" for name in aggregates])
 
     @staticmethod
     def _filled(result, aggregates) -> DataFrame:

@@ -13,7 +13,7 @@ def expiring_counts(df: DataFrame, key: str, time: str, ttl_seconds: int, tie: s
     Every row renews it. The count is the position of the row less that of the row that started over.
     """
     ordered = Ordered(df.withColumn("__t", order_number(df, time)), [time, tie], [key], **cut)
-    ordered = ordered.running(exclusive=True, __prev=highest("__t")).running(__rn=rows())
+    ordered = ordered.running({"__prev": highest("__t")}, __rn=rows())
     anew = F.col("__prev").isNull() | (F.col("__t") - F.col("__prev") >= ttl_seconds * 1_000_000)
     out = ordered.running(__from=highest(F.when(anew, F.col("__rn")))).rows()
     return out.withColumn(name, F.col("__rn") - F.col("__from") + 1).drop("__t", "__prev", "__rn", "__from")

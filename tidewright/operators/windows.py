@@ -43,7 +43,7 @@ def session_window(df: DataFrame, time: str, gap_seconds: int, aggregates, keys=
     micros = gap_seconds * 1_000_000
     place = order_number(df, time)
     order = [time] + ([tie] if tie else [])
-    ordered = Ordered(df.withColumn("__t", place), order, keys, **cut).running(exclusive=True, __prev=highest("__t"))
+    ordered = Ordered(df.withColumn("__t", place), order, keys, **cut).running({"__prev": highest("__t")})
     starts = F.when(F.col("__prev").isNull() | (F.col("__t") - F.col("__prev") > micros), F.col(time))
     named = ordered.running(session_start=highest(starts)).rows()
     grouped = named.groupBy(*keys, "session_start").agg(F.max(time).alias("__last"), *aggregates)
