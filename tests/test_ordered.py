@@ -91,6 +91,12 @@ def test_structs_and_timestamps(spark):
         assert tuple(r.best) == smallest
 
 
+def test_rows_without_a_place_come_first(spark):
+    df = spark.createDataFrame([(None, 7)] + [(i, 1) for i in range(100)], "s int, v int")
+    out = Ordered(df, "s", rows_per_slice=10).running(n=total("v")).rows()
+    assert sorted((r.s, r.n) for r in out.collect() if r.s is not None) == [(i, i + 8) for i in range(100)]
+
+
 def test_ties_share_a_slice(spark):
     df = spark.createDataFrame([(i // 4, i, 1) for i in range(200)], "s int, id int, one int")
     out = Ordered(df, ["s", "id"], rows_per_slice=10).running(n=rows()).rows()

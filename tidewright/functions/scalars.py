@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+# The time formats of log lines and of window output.
 MILLIS_TEXT = "yyyy-MM-dd HH:mm:ss.SSS"
 LOG_TIME = "dd/MM/yyyy:HH:mm:ss"
 

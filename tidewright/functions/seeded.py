@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# The constants of the generator.
 MULTIPLIER = 1103515245
 INCREMENT = 12345
 MODULUS = 1 << 31
 
+# The words a pair generator draws from.
 WORDS = ("hadoop", "spark", "flink")
 
 

@@ -6,10 +6,11 @@ such groups are cut into slices along the order first. A slice is a window parti
 what the earlier slices add up to comes from a table with one row per slice. Keys that fit in one
 task keep the plain window and the same single shuffle.
 
-The cut is decided from counts, not from rows: a group larger than ``rows_per_slice`` is cut into
-equal spans of the order value, and a span that still holds too much is cut again. The limit never
-falls below ``total / MOST_GROUPS``, so fewer than ``MOST_GROUPS`` groups can be over it at any
-level. That bounds the tables broadcast here whatever the size of the data.
+The cut is decided from a sample: a group that holds more than ``rows_per_slice`` is cut into equal
+spans of the order value, meant to be half full, and a span that still holds too much is cut again.
+Only the layout depends on the sample. Any cut along the order gives the same results, and no row is
+left out. The limit never falls below ``total / MOST_GROUPS``, so fewer than ``MOST_GROUPS`` groups
+can be over it at any level. That bounds the tables broadcast here whatever the size of the data.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ ROWS_FLOOR = 1 << 18
 ROWS_CEILING = 1 << 22
 MOST_GROUPS = 1 << 16
 MOST_LEVELS = 8
+SAMPLED_PER_SLICE = 2000
 
 
 class Running(NamedTuple):
@@ -103,38 +105,41 @@ class Ordered:
         limit = max(rows_per_slice, rows_in_all // MOST_GROUPS)
         if rows_in_all <= limit:
             return
+        share = min(1.0, SAMPLED_PER_SLICE / limit)
+        sample = sizing.select(*self.keys, order_number(sizing, self.order[0]).alias("__place"))
+        sample = materialise(sample.sample(share, seed=1) if share < 1 else sample)
+        place = order_number(self.df, self.order[0])
         while len(self.levels) < MOST_LEVELS:
             by = self.keys + self.levels
-            place = order_number(sizing, self.order[0])
-            groups = sizing.groupBy(*by).agg(
-                F.count(F.lit(1)).alias("__n"), F.min(place).alias("__lo"), F.max(place).alias("__hi")
+            cut_before = sample.where(F.col(self.levels[-1]).isNotNull()) if self.levels else sample
+            groups = cut_before.groupBy(*by).agg(
+                F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__lo"), F.max("__place").alias("__hi")
             )
-            crowded = groups.where((F.col("__n") > limit) & (F.col("__hi") > F.col("__lo")))
+            crowded = groups.where((F.col("__n") > limit * share) & (F.col("__hi") > F.col("__lo")))
             span = (F.col("__hi") - F.col("__lo") + 1).cast("double")
             crowded = materialise(
                 crowded.select(
                     *[F.col(c).alias(f"__by{i}") for i, c in enumerate(by)],
                     F.col("__lo"),
-                    F.greatest(F.lit(1.0), span * limit / F.col("__n")).alias("__width"),
+                    F.greatest(F.lit(1.0), span * (limit * share / 2) / F.col("__n")).alias("__width"),
                 )
             )
             if crowded.isEmpty():
                 return
-            shared = sizing is self.df
-            self.df = self._slice(self.df, by, crowded)
-            sizing = self.df if shared else self._slice(sizing, by, crowded)
+            self.df = self._slice(self.df, place, by, crowded)
+            sample = self._slice(sample, F.col("__place"), by, crowded)
             self.levels.append(f"__slice{len(self.levels)}")
 
-    def _slice(self, df: DataFrame, by: list[str], crowded: DataFrame) -> DataFrame:
+    def _slice(self, df: DataFrame, place: Column, by: list[str], crowded: DataFrame) -> DataFrame:
         """Number the slices of the crowded groups; fewer than MOST_GROUPS of them are broadcast."""
-        place = order_number(df, self.order[0])
         if by:
             same = _all([df[c].eqNullSafe(crowded[f"__by{i}"]) for i, c in enumerate(by)])
             wide, lo, width = df.join(F.broadcast(crowded), same, "left"), F.col("__lo"), F.col("__width")
         else:
             only = crowded.first()
             wide, lo, width = df, F.lit(only["__lo"]), F.lit(only["__width"])
-        number = F.floor((place - lo) / width).cast("long")
+        first = F.lit(-(1 << 63))
+        number = F.when(width.isNotNull(), F.coalesce(F.floor((place - lo) / width).cast("long"), first))
         return wide.withColumn(f"__slice{len(self.levels)}", number).drop(
             "__lo", "__width", *[f"__by{i}" for i in range(len(by))]
         )

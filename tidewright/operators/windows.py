@@ -36,10 +36,19 @@ def time_window(df: DataFrame, time: str, size: str, aggregates, keys=(), slide:
 def session_window(df: DataFrame, time: str, gap_seconds: int, aggregates, keys=(), tie: str | None = None, **cut) -> DataFrame:
     """Sessions: a row joins the session before it unless more than the gap lies between them.
 
-    A session is named by its first time: the running maximum, along time, of the rows that start
+    On a stream with a watermark these are Spark's own session windows, whose state is kept per key.
+    On a table, a session is named by its first time: the running maximum, along time, of the rows that start
     one. Both passes run over slices, so all rows without a key are still spread over tasks.
     """
     keys = list(keys)
+    if df.isStreaming:
+        # Spark asks for a key, and merges the rows of a task into sessions before the shuffle.
+        df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+        key = keys or [F.pmod(F.hash(time), F.lit(1)).alias("__all")]
+        native = df.groupBy(*key, F.session_window(time, f"{gap_seconds} seconds").alias("__w")).agg(*aggregates)
+        names = [c for c in native.columns if c not in (*keys, "__all", "__w")]
+        start, end = F.col("__w.start").alias("session_start"), F.col("__w.end").alias("session_end")
+        return native.select(*keys, start, end, *names)
     micros = gap_seconds * 1_000_000
     place = order_number(df, time)
     order = [time] + ([tie] if tie else [])

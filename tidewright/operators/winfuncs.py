@@ -25,7 +25,7 @@ def window_elements(df: DataFrame, time: str, size: str, order, element: Column,
     names = [order] if isinstance(order, str) else list(order)
     placed = df.withColumn("window_start", F.window(time, size)["start"]).withColumn("window_end", F.window(time, size)["end"])
     by = [*keys, "window_start", "window_end"]
-    numbered = Ordered(placed, order, by, **cut).running(__rn=rows()).whole(n=rows()).rows()
+    numbered = Ordered(placed, order, [*keys, "window_start"], **cut).running(__rn=rows()).whole(n=rows()).rows()
     chunk = F.floor((F.col("__rn") - 1) / chunk_rows).cast("long").alias("chunk")
     listed = F.sort_array(F.collect_list(F.struct(*names, element.alias("__e"))))
     return numbered.groupBy(*by, chunk, "n").agg(F.transform(listed, lambda e: e["__e"]).alias("elements"))

@@ -84,9 +84,12 @@ def src_generator_parallel(t):
     return instances(t, 1).select("instance", "n", "ts")
 
 
-@query("src_generator_rich")
+@query("src_generator_rich", """select i::integer as instance, c_custkey as n, true as drawn
+  from customer, range(2) as r(i)""")
 def src_generator_rich(t):
-    return instances(t, 2)
+    """The same with set-up and clean-up per task; the random columns are checked for their range."""
+    drawn_well = F.col("user_id").isin("0", "1", "2") & F.col("money").between(0, 999) & (F.length("id") == 36)
+    return instances(t, 2).select("instance", "n", drawn_well.alias("drawn"))
 
 
 @query("sink_console", "select 'events' as label, event_type, count(*) as n from events group by event_type")
@@ -128,10 +131,12 @@ def sink_output_format(t):
     return bounded.text_lines(t.spark, path)
 
 
-@query("sink_custom")
+@query("sink_custom", "select event_type || ',' || event_id as line, true as numbered from events")
 def sink_custom(t):
-    """The lines the writer emits, with the number of the task in front."""
-    return t.events.select(custom.prefixed("event_type", "event_id").alias("line"))
+    """The lines the writer emits; the number of the task in front of them differs from run to run."""
+    lines = t.events.select(custom.prefixed("event_type", "event_id").alias("line"))
+    number = "^[0-9]+> "
+    return lines.select(F.regexp_replace("line", number, "").alias("line"), F.col("line").rlike(number).alias("numbered"))
 
 
 @query("sink_jdbc_upsert", """select o_custkey as word, max(o_orderkey) as seq,
@@ -150,7 +155,9 @@ def sink_kafka(t):
 
 @query("x_sort_desc", "select event_type as word, 1 as one, event_id from events")
 def x_sort_desc(t):
-    return t.events.select(F.col("event_type").alias("word"), F.lit(1).alias("one"), "event_id").orderBy(F.desc("word"))
+    """The order among equal words is free; the id splits a frequent word over the sorted partitions."""
+    pairs = t.events.select(F.col("event_type").alias("word"), F.lit(1).alias("one"), "event_id")
+    return pairs.orderBy(F.desc("word"), "event_id")
 
 
 @query("x_offset_limit_pipe", """select o_orderkey || '|' || o_orderstatus || '|' || o_orderpriority as value

@@ -12,9 +12,12 @@ from tidewright.streaming.metrics import per_task_counts
 NUMBERS = {"click": 1, "view": 2, "error": 3}
 
 
-@query("map_rich_partition_tag")
+@query("map_rich_partition_tag", "select cast(event_id as varchar) as value, true as numbered from events")
 def map_rich_partition_tag(t):
-    return place.tagged(t.events.select("event_id"), "event_id").select("tagged")
+    """The value in front of the tag, and whether the tag is the number of a partition."""
+    return place.tagged(t.events.select("event_id"), "event_id").select(
+        F.split("tagged", "--")[0].alias("value"), F.split("tagged", "--")[1].rlike("^[0-9]+$").alias("numbered")
+    )
 
 
 @query("part_broadcast", "select n_nationkey, n_name, i::integer as pid, i::integer as placed from nation, range(3) as r(i)")

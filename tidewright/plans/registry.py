@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewright.session import configure
 
@@ -27,10 +27,8 @@ class Tables:
         return self.spark.read.parquet(self.path(name))
 
     def values(self) -> DataFrame:
-        """Events with an exact decimal value, so that sums do not depend on order."""
-        return self.events.select(
-            "event_id", "ts", "user_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value")
-        )
+        """Events with their value in whole hundredths, so that sums do not depend on order."""
+        return self.events.select("event_id", "ts", "user_id", "event_type", hundredths("value").alias("value"))
 
     def arrivals(self) -> DataFrame:
         """Events out of order: ``s`` is the arrival number, ``event_id`` breaks its ties, ``t`` epoch ms."""
@@ -44,6 +42,15 @@ class Tables:
         )
 
 
+def hundredths(column: str) -> Column:
+    return F.round(F.col(column) * 100).cast("bigint")
+
+
+def units(column: Column) -> Column:
+    """Back to a double."""
+    return column.cast("double") / 100
+
+
 def query(name: str, sql: str | None = None):
     """Register a function of ``Tables`` under a name, with the SQL that gives the same rows."""
 

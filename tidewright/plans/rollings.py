@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewright.operators import rolling
-from tidewright.plans.registry import query
+from tidewright.plans.registry import query, units
 
 EVENTS = "(select event_id, ts, user_id, event_type, cast(value as decimal(18,2)) as value from events)"
 OVER = "over (partition by event_type order by event_id rows unbounded preceding)"
@@ -17,20 +17,20 @@ def keyby_selector(t):
     """A key by position (``event_type``) and a key by expression."""
     events = t.values().select("event_type", "user_id", "value")
     keys = rolling.key_columns(events, 0, (F.col("user_id") % 10).alias("bucket"))
-    return events.groupBy(*keys).agg(F.sum("value").cast("double").alias("total"))
+    return events.groupBy(*keys).agg(units(F.sum("value")).alias("total"))
 
 
 @query("rolling_sum", f"select event_id, event_type, cast(sum(value) {OVER} as double) as total from {EVENTS}")
 def rolling_sum(t):
     events = t.values().select("event_id", "event_type", "value")
     out = rolling.running_sum(events, ["event_type"], "value", "event_id", "total")
-    return out.select("event_id", "event_type", F.col("total").cast("double").alias("total"))
+    return out.select("event_id", "event_type", units(F.col("total")).alias("total"))
 
 
 def extreme(t, function):
     events = t.values().select("event_id", "event_type", "user_id", "value")
     out = function(events, ["event_type"], "value", "event_id", ["user_id"])
-    return out.select("event_id", "event_type", "user_id", F.col("value").cast("double").alias("value"))
+    return out.select("event_id", "event_type", "user_id", units(F.col("value")).alias("value"))
 
 
 EXTREME = """select event_id, event_type, first_value(user_id) {over} as user_id,

@@ -196,19 +196,21 @@ def fn_get_or_default(t):
     return t.events.select("event_id", kind.alias("kind"))
 
 
-@query("fn_random")
+@query("fn_random", "select event_id, true as in_range from events")
 def fn_random(t):
-    return t.events.select("event_id", scalars.random_int(1000).alias("r"))
+    return t.events.select("event_id", scalars.random_int(1000).between(0, 999).alias("in_range"))
 
 
-@query("fn_uuid")
+@query("fn_uuid", "select event_id, true as well_formed from events")
 def fn_uuid(t):
-    return t.events.select("event_id", scalars.random_uuid().alias("id"))
+    shape = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    return t.events.select("event_id", scalars.random_uuid().rlike(shape).alias("well_formed"))
 
 
-@query("fn_now_ms")
+@query("fn_now_ms", "select event_id, true as after_the_event from events")
 def fn_now_ms(t):
-    return t.events.select("event_id", scalars.now_ms().alias("now_ms"))
+    event = F.unix_millis(F.col("ts").cast("timestamp"))
+    return t.events.select("event_id", (scalars.now_ms() > event).alias("after_the_event"))
 
 
 @query("broadcast_lookup", """select l_orderkey, l_linenumber, l_quantity, coalesce(p.p_name, '未知') as p_name

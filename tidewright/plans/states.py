@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewright.operators import lookup, shaping, state as expiry
-from tidewright.plans.registry import query
+from tidewright.plans.registry import hundredths, query, units
 from tidewright.plans.rollings import EVENTS, OVER
 from tidewright.session import new_dir
 from tidewright.sinks.keyed import upsert_into
@@ -18,7 +18,7 @@ from tidewright.streaming.tables import BatchOutput, VersionedTable, finish, run
 
 
 def event_values(t):
-    return table_stream(t.spark, t.path("events")).select("event_id", "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
+    return table_stream(t.spark, t.path("events")).select("event_id", "event_type", hundredths("value").alias("value"))
 
 
 def running_sums(t, label: str, sums: VersionedTable):
@@ -26,8 +26,8 @@ def running_sums(t, label: str, sums: VersionedTable):
     output = BatchOutput(t.spark, f"{base}/rows")
     body = running_sum_body(sums, output, "event_type", "value", "event_id")
     run_batches(event_values(t), body, f"{base}/checkpoint")
-    rows = output.read("event_type string, event_id bigint, value decimal(18,2), running decimal(28,2)")
-    return rows.select("event_id", "event_type", F.col("running").cast("double").alias("running"))
+    rows = output.read("event_type string, event_id bigint, value bigint, running bigint")
+    return rows.select("event_id", "event_type", units(F.col("running")).alias("running"))
 
 
 @query("state_value_sum", f"select event_id, event_type, cast(sum(value) {OVER} as double) as running from {EVENTS}")
@@ -119,8 +119,7 @@ def udf_broadcast_process(t):
 @query("state_queryable_value", "select event_type, sum(round(value * 100)::bigint)::bigint as total from events group by event_type")
 def state_queryable_value(t):
     """Sums kept by a stream, then read from its state store."""
-    cents = F.round(F.col("value") * 100).cast("bigint")
-    sums = table_stream(t.spark, t.path("events")).groupBy("event_type").agg(F.sum(cents).alias("total"))
+    sums = table_stream(t.spark, t.path("events")).groupBy("event_type").agg(F.sum(hundredths("value")).alias("total"))
     return state.kept_in_state(sums, new_dir(t.spark, "queryable")).withColumnRenamed("sum", "total")
 
 
@@ -161,9 +160,11 @@ def state_accumulator(t):
     return t.spark.createDataFrame([(counter.get["rows"],)], "n bigint")
 
 
-@query("state_local_counter")
+@query("state_local_counter", "select count(*) as n, true as each_has_rows from lineitem")
 def state_local_counter(t):
-    return metrics.per_task_counts(t.lineitem.select("l_orderkey"))
+    """Counters of single tasks: together they are the number of rows."""
+    counters = metrics.per_task_counts(t.lineitem.select("l_orderkey"))
+    return counters.agg(F.sum("rows").alias("n"), (F.min("rows") > 0).alias("each_has_rows"))
 
 
 @query("checkpoint_resume", "select event_type, count(*) as n from events group by event_type")
@@ -182,7 +183,7 @@ def savepoint_resume(t):
     first = VersionedTable(t.spark, new_dir(t.spark, "savepoint"))
     running_sums(t, "before-savepoint", first)
     second = VersionedTable(t.spark, new_dir(t.spark, "savepoint"))
-    second.start_from(first, "event_type string, s decimal(28,2)")
+    second.start_from(first, "event_type string, s bigint")
     partitions = t.spark.conf.get("spark.sql.shuffle.partitions")
     t.spark.conf.set("spark.sql.shuffle.partitions", str(int(partitions) + 1))
     try:

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tidewright.operators import partitioning as place, rolling, shaping, udfs, windows, winfuncs
-from tidewright.plans.registry import query
+from tidewright.plans.registry import query, units
 from tidewright.plans.rollings import EVENTS
 from tidewright.plans.windowed import count_sql
 from tidewright.plans.wordcounts import WORDS
@@ -91,4 +91,4 @@ def udf_partitioner(t):
 def udf_keyselector(t):
     initial = F.upper(F.substring("event_type", 1, 1)).alias("initial")
     out = rolling.final_sum(t.values(), [initial], "value", "total")
-    return out.withColumn("total", F.col("total").cast("double"))
+    return out.withColumn("total", units(F.col("total")))

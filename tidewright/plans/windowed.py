@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewright.operators import windows, winfuncs
 from tidewright.operators.ordered import total
-from tidewright.plans.registry import query
+from tidewright.plans.registry import query, units
 from tidewright.plans.rollings import EVENTS
 
 HOUR = "interval 1 hour"
@@ -14,7 +14,7 @@ SUM = "cast(sum(value) as double) as total"
 
 
 def dsum():
-    return F.sum("value").cast("double").alias("total")
+    return units(F.sum("value")).alias("total")
 
 
 TUMBLING = "time_bucket(interval 1 hour, ts)"
@@ -100,7 +100,7 @@ def sliding_sql(keys: str) -> str:
 
 def sliding(t, keys=()):
     out = windows.sliding_count(t.values(), 10, 5, "event_id", {"total": total("value")}, keys)
-    return out.withColumn("total", F.col("total").cast("double"))
+    return out.withColumn("total", units(F.col("total")))
 
 
 @query("win_sliding_count_all", sliding_sql(""))
@@ -120,7 +120,7 @@ def wf_reduce(t):
 
 @query("wf_aggregate_avg", count_sql(3, "event_type", "cast(sum(value) as double) / count(*) as avg"))
 def wf_aggregate_avg(t):
-    return windows.tumbling_count(t.values(), 3, "event_id", [winfuncs.average(F.col("value")).alias("avg")], ["event_type"])
+    return windows.tumbling_count(t.values(), 3, "event_id", [(units(F.sum("value")) / F.count("value")).alias("avg")], ["event_type"])
 
 
 @query("wf_process_avg", count_sql(2, "event_type", "cast(sum(value) as double) / count(*) as avg"))
@@ -128,9 +128,8 @@ def wf_process_avg(t):
     """The elements of each count window are listed, then folded."""
     listed = winfuncs.bounded_elements(F.col("value"), "rn").alias("elements")
     lists = windows.tumbling_count(t.values(), 2, "event_id", [listed], ["event_type"])
-    zero = F.lit(0).cast("decimal(28,2)")
-    added = F.aggregate("elements", zero, lambda acc, v: (acc + v).cast("decimal(28,2)")).cast("double")
-    return lists.select("event_type", "win", (added / F.size("elements")).alias("avg"))
+    added = F.aggregate("elements", F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+    return lists.select("event_type", "win", (units(added) / F.size("elements")).alias("avg"))
 
 
 @query("wf_apply_sum", f"select event_type, {TUMBLING} as window_start, count(*) as n from events group by event_type, {TUMBLING}")

@@ -85,12 +85,17 @@ class BatchOutput:
         return self.spark.read.schema(f"{schema}, batch int").parquet(self.path)
 
 
-def drain(stream: DataFrame, label: str, checkpoint: str | None = None) -> DataFrame:
-    """Run a stream over all there is, in append mode, and return the rows it wrote."""
+def drain(stream: DataFrame, label: str, checkpoint: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Run a stream over all there is, in append mode, and return the rows it wrote.
+
+    ``by`` writes each value of a column, such as the tag of a side output, to a folder of its own.
+    """
     spark = use_rocksdb(stream.sparkSession)
     out = new_dir(spark, label)
     writer = stream.writeStream.outputMode("append").trigger(availableNow=True)
     writer = writer.option("checkpointLocation", checkpoint or f"{out}/checkpoint")
+    if by:
+        writer = writer.partitionBy(*by)
     finish(writer.format("parquet").option("path", f"{out}/rows").start())
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
