@@ -119,6 +119,8 @@ def test_text_sinks(spark, tmp_path):
     counted = spark.createDataFrame([("spark", 1), ("spark", 2)], "w string, n int")
     path = files.as_text(counted, str(tmp_path / "p"), files.tuple_text("w", "n"))
     assert sorted(r.value for r in bounded.text_lines(spark, path).collect()) == ["(spark,1)", "(spark,2)"]
+    (tmp_path / "crlf").write_bytes(b"a\r\n\r\nb\rc\n")
+    assert [r.value for r in bounded.text_lines(spark, str(tmp_path / "crlf")).collect()] == ["a", "", "b\rc"]
     stamped = files.as_text_stamped(spark.range(2), str(tmp_path / "s"))
     assert stamped[len(str(tmp_path / "s")) :].isdigit()
 

@@ -270,10 +270,10 @@ def test_rules_replace_the_whole_set(spark):
 
 
 def test_custom_partitions(spark):
-    df = lines(spark, ["spark", "flink", "hadoop", "hive"] * 5)
+    df = lines(spark, ["spark", "flink", "hadoop", "hive"] * 5).withColumn("n", F.monotonically_increasing_id())
     where = partitioning.by_value("value", {"spark": 1, "flink": 2, "hadoop": 3})
     for spread in (1, 3):
-        placed = partitioning.custom(df, 4, where, spread)
+        placed = partitioning.custom(df, 4, where, spread, "n")
         assert {(r.value, r.pid) for r in placed.collect()} == {("spark", 1), ("flink", 2), ("hadoop", 3), ("hive", 0)}
 
 
@@ -298,9 +298,11 @@ def test_java_split(spark, line, words):
 
 
 def test_text_and_scalars(spark):
-    df = lines(spark, ["\x01\t x \x1f", " \t\n", None])
+    df = lines(spark, ["\x01\t x \x1f", " \t\n", None, "\u3000\u2003", "\u00a0"])
     out = df.select(text.java_trim(F.col("value")).alias("t"), text.is_blank(F.col("value")).alias("b")).collect()
-    assert [(r.t, r.b) for r in out] == [("x", False), ("", True), (None, True)]
+    assert [(r.t, r.b) for r in out] == [
+        ("x", False), ("", True), (None, True), ("\u3000\u2003", True), ("\u00a0", False),
+    ]
     one = spark.range(1).select(
         scalars.format_time(F.lit(1626934802000)).alias("f"),
         scalars.parse(F.lit("x"), "int", strict=False).alias("bad"),

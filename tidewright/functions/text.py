@@ -7,6 +7,10 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+# The characters Java counts as white space, as a regular expression.
+WHITE_SPACE = r"[\s\x0b\x1c-\x1f\x{1680}\x{2000}-\x{2006}\x{2008}-\x{200a}\x{2028}\x{2029}\x{205f}\x{3000}]+"
+
+
 def java_split(text: Column, sep: str = " ") -> Column:
     """Split on one character; trailing empty strings are dropped, leading and inner ones kept.
 
@@ -24,7 +28,12 @@ def java_trim(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """Missing, empty, or white space alone."""
-    return F.coalesce(F.regexp_replace(text, r"[\s\x1c-\x1f]+", "") == "", F.lit(True))
+    return F.coalesce(F.regexp_replace(text, WHITE_SPACE, "") == "", F.lit(True))
+
+
+def line(text: Column) -> Column:
+    """A line without the carriage return that ends it."""
+    return F.when(text.endswith("\r"), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text)
 
 
 def words(df: DataFrame, text: str, name: str = "word", sep: str = " ") -> DataFrame:

@@ -86,7 +86,8 @@ class Ordered:
     """``df`` in the order of ``order`` within ``keys``, cut into slices where a group is too large.
 
     The first order column must be an integer, date or timestamp; the others break its ties. The
-    whole list must be unique within a key for the running results to be deterministic.
+    whole list must be unique within a key for the running results to be deterministic, and ``df``
+    must give the same rows when it is read again.
     """
 
     def __init__(self, df: DataFrame, order, keys=(), rows_per_slice: int | None = None, sizing: DataFrame | None = None):

@@ -11,14 +11,17 @@ def to_every(df: DataFrame, n: int) -> DataFrame:
     return copies.repartitionById(n, "pid")
 
 
-def custom(df: DataFrame, n: int, partition: Column, spread: int = 1, name: str = "pid") -> DataFrame:
+def custom(df: DataFrame, n: int, partition: Column, spread: int = 1, by: str | None = None, name: str = "pid") -> DataFrame:
     """Rows to the partition an expression names, 0..n-1, kept in the column ``name``.
 
-    With ``spread`` each named partition is that many tasks, so a common value is not one task's work.
+    With ``spread`` each named partition is that many tasks, so a common value is not one task's work;
+    the hash of ``by``, a column of many values, tells which. A repeated task places rows as before.
     """
     place = partition.cast("int")
     if spread > 1:
-        place = place * spread + F.floor(F.rand(0) * spread).cast("int")
+        if by is None:
+            raise ValueError("spread needs the column to spread by")
+        place = place * spread + F.pmod(F.xxhash64(by), F.lit(spread)).cast("int")
     placed = df.repartitionById(n * spread, place)
     return placed.withColumn(name, F.floor(F.spark_partition_id() / spread).cast("int"))
 
@@ -53,7 +56,7 @@ def rescale(df: DataFrame, n: int) -> DataFrame:
 
 
 def shuffle(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """Rows to partitions at random."""
+    """Rows to partitions at random. The input must come in a repeatable order, as that of a scan does."""
     return df.repartition(n, F.rand(seed))
 
 

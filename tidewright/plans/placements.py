@@ -33,7 +33,7 @@ def parallelism(t) -> int:
   when 'error' then 3 else 0 end::integer as pid from events""")
 def part_custom(t):
     events = t.events.select("event_id", "event_type")
-    return place.custom(events, 4, place.by_value("event_type", NUMBERS), max(parallelism(t) // 4, 1))
+    return place.custom(events, 4, place.by_value("event_type", NUMBERS), max(parallelism(t) // 4, 1), "event_id")
 
 
 @query("part_forward", "select event_id from events")

@@ -133,7 +133,7 @@ def fn_starts_with(t):
     return t.pages.select("page_id", F.col("url").startswith("https").alias("has"))
 
 
-@query("fn_is_blank", r"""select doc_id, count(*) filter (where regexp_replace(line, '[\s\x1c-\x1f]+', '', 'g') = '') as blank_lines
+@query("fn_is_blank", f"""select doc_id, count(*) filter (where regexp_replace(line, '{text.WHITE_SPACE}', '', 'g') = '') as blank_lines
   from (select doc_id, unnest(string_split(text, chr(10))) as line from documents) group by doc_id""")
 def fn_is_blank(t):
     lines = t.documents.select("doc_id", F.split("text", "\n").alias("lines"))

@@ -83,7 +83,7 @@ def udf_comap(t):
 def udf_partitioner(t):
     orders = t.orders.select("o_orderkey")
     spread = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")) // 3, 1)
-    return place.custom(orders, 3, F.col("o_orderkey") % 3, spread)
+    return place.custom(orders, 3, F.col("o_orderkey") % 3, spread, "o_orderkey")
 
 
 @query("udf_keyselector", f"""select upper(substr(event_type, 1, 1)) as initial, cast(sum(value) as double) as total

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewright.functions.text import java_split, words
+from tidewright.functions.text import WHITE_SPACE, java_split, words
 from tidewright.operators import shaping
 from tidewright.operators.wordcount import word_count
 from tidewright.plans.registry import query
@@ -18,7 +18,8 @@ from tidewright.streaming.tables import Folder
 SPLIT = """case when {t} <> '' and rtrim({t}, ' ') = '' then [] else string_split(rtrim({t}, ' '), ' ') end"""
 WORDS = f"select unnest({SPLIT.format(t='text')}) as word from documents"
 COUNTS = f'select word, count(*) as "count" from ({WORDS}) group by word'
-LINES = "select unnest(string_split(text, chr(10))) as value from documents"
+LINES = """select case when ends_with(value, chr(13)) then substr(value, 1, length(value) - 1) else value end as value
+  from (select unnest(string_split(text, chr(10))) as value from documents)"""
 LINE_COUNTS = f"""select word, count(*) as "count" from (
   select unnest({SPLIT.format(t='value')}) as word from ({LINES})) group by word"""
 
@@ -91,7 +92,7 @@ def src_socket_text(t):
 
 @query("src_file_tail", f"""select word, count(*) as "count" from (
   select unnest({SPLIT.format(t='value')}) as word from ({LINES})
-  where regexp_replace(value, '[\\s\\x1c-\\x1f]+', '', 'g') <> '') group by word""")
+  where regexp_replace(value, '{WHITE_SPACE}', '', 'g') <> '') group by word""")
 def src_file_tail(t):
     """A few files per batch, blank lines left out."""
     folder = lines_folder(t)

@@ -62,7 +62,8 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidewright/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder; survives the loss of executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def materialise(df: DataFrame, label: str = "rows") -> DataFrame:
+    """Compute ``df`` once, into a table of the shared folder; it outlives the executors that wrote it."""
+    path = new_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

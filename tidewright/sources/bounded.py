@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewright.functions.text import line
+
 
 def elements(spark: SparkSession, rows: Iterable, schema: str) -> DataFrame:
     """A few literal rows with an explicit schema; a bare value is a row of one field."""
@@ -29,7 +31,7 @@ def counter(spark: SparkSession, last: int, name: str = "id") -> DataFrame:
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """The lines of a text file or of all files of a folder."""
-    return spark.read.option("lineSep", "\n").text(path)
+    return spark.read.option("lineSep", "\n").text(path).select(line(F.col("value")).alias("value"))
 
 
 def split_points(column: str, lower: int, upper: int, partitions: int) -> dict[str, str]:

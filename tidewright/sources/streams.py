@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewright.functions.text import is_blank
+from tidewright.functions.text import is_blank, line
 
 
 def glob(path: str) -> str:
@@ -30,7 +30,7 @@ def text_stream(spark: SparkSession, folder: str, files_per_batch: int | None =
     reader = spark.readStream.option("lineSep", "\n")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(folder)
+    return reader.text(folder).select(line(F.col("value")).alias("value"))
 
 
 def file_tail(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
