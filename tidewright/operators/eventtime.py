@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.operators.ordered import Ordered, highest, rows
+from tidewright.session import materialise
 
 
 def from_millis(column: Column) -> Column:
@@ -166,6 +167,19 @@ def with_idleness(df, key, time, order, source, inputs: int, tick, size_ms, boun
     least = F.least(*parts) if inputs > 1 else parts[0]
     ordered = Ordered(df, order, **cut).running(**highs, **ticks).with_columns(__start=start)
     ordered = ordered.with_columns(__wm=F.when(~anyone_waiting, least) - bound_ms - 1)
-    marked = ordered.running({"wm_before": highest("__wm")}).rows()
-    last_wm = ordered.rows().agg(F.max("__wm")).scalar()
-    return fire_once(marked, key, time, size_ms, "wm_before", last_wm)
+    marked = ordered.running({"wm_before": highest("__wm")}).rows().withColumn(
+        "window_end", window_end(F.col(time), size_ms)
+    )
+    kept = F.coalesce(F.col("wm_before") < F.col("window_end") - 1, F.lit(True))
+    # The last watermark is only known after both passes, so the windows are written once and then chosen from.
+    windows = materialise(
+        marked.groupBy(key, "window_end").agg(
+            F.count(F.when(kept, 1)).alias("n"),
+            F.max(F.when(kept, F.col(time))).alias("last_time"),
+            F.max("__wm").alias("__wm"),
+        )
+    )
+    last_wm = windows.agg(F.max("__wm")).scalar()
+    return windows.where((F.col("n") > 0) & (F.col("window_end") - 1 <= last_wm)).select(
+        key, (F.col("window_end") - size_ms).alias("window_start"), "window_end", "n", "last_time"
+    )
