@@ -84,7 +84,7 @@ with recursive words as (
     from documents
 ), sets as (
     select doc_id, case when len(w) = 0 then [] else
-        list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), i -> array_to_string(w[i:i + 4], ' '))) end as s
+        list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
     from words
 ), tokens as (select doc_id, len(s) as n, unnest(s) as t from sets),
 links as (
@@ -100,8 +100,8 @@ from sets s join (select a, min(b) as c from reach group by a) r on r.a = s.doc_
 """,
     "op9_top_k": """
 with v as (
-    select vec_id, list_transform(embedding, x -> floor(256 * cast(x as double))) as e from embeddings
-    where vec_id is not null and embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+    where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
     select q.vec_id as query_id, d.vec_id, cast(list_inner_product(q.e, d.e) as bigint) as score
     from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 50 = 0
