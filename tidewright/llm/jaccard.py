@@ -3,8 +3,10 @@
 Similar documents are put into groups of bounded size. The matrix says which tokens a group holds, so that the overlap
 of a document with a whole group can be bounded, and only groups that qualify are opened and compared exactly.
 
-Tokens have a global order, rare ones first. Two sets that link share one of the first ``n - ceil(share * n) + 1`` tokens of
-each (the prefix), whatever the order, so the matrix holds prefixes only and loses no link. Equal sets are one set. What is
+Tokens have a global order. Two sets that link share one of the first ``n - ceil(share * n) + 1`` tokens of each (the
+prefix), whatever the order, so the matrix holds prefixes only and loses no link. The order puts a fixed part of all
+tokens, chosen by hash, first, and of these the rare ones first; prefixes then lie in that part, only its tokens are
+counted, and a document drops out as soon as its prefix holds nothing but tokens of its own. Equal sets are one set. What is
 linked within its group is one component from then on, and only documents of different components are compared further.
 """
 
@@ -12,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidewright.llm.common import batch, by_group, map_batches, mixed, shingle_hashes, signed, stretches, lists, word_hashes
 from tidewright.llm.graph import components
@@ -22,6 +24,8 @@ from tidewright.session import materialise
 PERCENT, SHINGLE = 75, 5
 #: One row in so many shows which tokens are frequent, and so many of these are kept. Both set only the order of tokens.
 SAMPLE, FREQUENT = 64, 1 << 16
+#: Two fifths of all tokens are counted. Counts from here on rank alike; frequent tokens rank higher.
+COUNTED, RARE = 2, 111
 #: Sets and tokens of a group; queries that a group is opened for at a time.
 GROUP_SETS, GROUP_TOKENS, QUERIES = 256, 1 << 20, 4096
 #: Documents whose places are broadcast; more are joined by a shuffle.
@@ -41,45 +45,98 @@ def _marks(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(int(mixed(tokens ^ np.uint64(c)).sum(dtype=np.uint64).astype(np.int64)) for c in (0x51ED270B, 0xA24BAED4963EE407))
 
 
+def _codes(tokens: np.ndarray) -> np.ndarray:
+    """Whether a token is outside the counted part (bit 62), and 55 bits of its hash."""
+    return (tokens % np.uint64(5) >= COUNTED).astype(np.uint64) << np.uint64(62) | mixed(tokens) >> np.uint64(9)
+
+
+def _needed(n, percent: int):
+    """Tokens in the prefix of a set of ``n``."""
+    return n - (percent * n + 99) // 100 + 1
+
+
 def frequent_tokens(documents: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent tokens of a sample of rows, by token, and how often they occur in it."""
+    """Codes of the most frequent tokens of a sample of rows, in order, and a rank of how often they occur in it."""
     rows = documents.where(F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(SAMPLE)) == 0).select(F.col(f"`{text}`").alias("text"))
 
     def run(part: pa.RecordBatch):
         for _, sets in _sets(part.column("text")):
-            found, c = np.unique(np.concatenate(sets), return_counts=True)
+            found, c = np.unique(_codes(np.concatenate(sets)), return_counts=True)
             yield [signed(found), c]
 
     counts = map_batches(rows, run, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).where("c > 1")
     top = counts.orderBy(F.desc("c"), "token").limit(FREQUENT).toArrow()
-    token, c = np.asarray(top.column("token"), np.int64).view(np.uint64), np.asarray(top.column("c"), np.int64)
-    order = np.argsort(token)
-    return token[order], np.minimum(c[order], 127).astype(np.uint64)
+    code, c = np.asarray(top.column("token"), np.int64).view(np.uint64), np.asarray(top.column("c"), np.int64)
+    order = np.argsort(code)
+    return code[order], np.minimum(RARE + 1 + np.log2(np.maximum(c[order], 1)).astype(np.int64), 127).astype(np.uint64)
+
+
+def _leading(tokens: np.ndarray, frequent, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of a set that its prefix may hold: those to be counted, and the frequent ones with their rank.
+
+    These are all of the counted part and, if they are too few for the prefix, the next by hash.
+    """
+    often, rank = frequent
+    codes = _codes(tokens)
+    codes.sort()
+    inner = int(np.searchsorted(codes, np.uint64(1) << np.uint64(62)))
+    codes = codes[: max(inner, _needed(len(tokens), percent) if len(tokens) else 0)]
+    if not len(often):
+        return codes, codes[:0]
+    at = np.minimum(np.searchsorted(often, codes), len(often) - 1)
+    is_often = often[at] == codes
+    ranked = codes[is_often]
+    return codes[~is_often], np.where(ranked >> np.uint64(62), ranked, ranked | rank[at[is_often]] << np.uint64(55))
 
 
 def fingerprints(documents: DataFrame, frequent, text: str = "text", key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
-    """``id``, ``n`` distinct shingles, two marks of the set and its prefix in the order of tokens, of every row."""
+    """``id``, ``n`` distinct shingles, two marks of the set, how many tokens are counted, and its frequent tokens."""
     rows = documents.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    often, rank = frequent
 
     def run(part: pa.RecordBatch):
         for a, sets in _sets(part.column("text")):
             marks = [_marks(s) for s in sets]
-            prefixes = []
-            for s in sets:
-                order = s >> np.uint64(8)
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-                    order = order | np.where(often[at] == s, rank[at], np.uint64(0)) << np.uint64(56)
-                n = len(s) - (percent * len(s) + 99) // 100 + 1 if len(s) else 0
-                prefixes.append(np.sort(order)[:n])
-            begin = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])])
+            leading = [_leading(s, frequent, percent) for s in sets]
+            begin = np.concatenate([[0], np.cumsum([len(f) for _, f in leading])])
             yield [
                 part.column("id").slice(a, len(sets)), [len(s) for s in sets], [m[0] for m in marks], [m[1] for m in marks],
-                lists(signed(np.concatenate(prefixes)), begin, pa.int64()),
+                [len(c) for c, _ in leading], lists(signed(np.concatenate([f for _, f in leading])), begin, pa.int64()),
             ]
 
-    return map_batches(rows, run, "id long, n long, m1 long, m2 long, prefix array<long>")
+    return map_batches(rows, run, "id long, n long, m1 long, m2 long, counted long, frequent array<long>")
+
+
+def _counted(documents: DataFrame, frequent, text: str, key: str, percent: int) -> DataFrame:
+    """``token`` and ``id`` for each token that is to be counted; none of them is frequent."""
+    rows = documents.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).where("id is not null")
+
+    def run(part: pa.RecordBatch):
+        ids = np.asarray(part.column("id"))
+        for a, sets in _sets(part.column("text")):
+            leading = [_leading(s, frequent, percent)[0] for s in sets]
+            yield [signed(np.concatenate(leading)), np.repeat(ids[a : a + len(sets)], [len(c) for c in leading])]
+
+    return map_batches(rows, run, "token long, id long")
+
+
+def _prefixes(documents: DataFrame, prints: DataFrame, frequent, text: str, key: str, percent: int) -> DataFrame:
+    """``token`` and ``id``: the tokens of each prefix that may be shared, of documents that may link.
+
+    The tokens go through one shuffle, in which each is counted. Frequent ones stay out of it, so no token is hot there.
+    """
+    c = F.count("*").over(Window.partitionBy("token"))
+    found = _counted(documents, frequent, text, key, percent).withColumn("c", c).where("c > 1")
+    outer = F.shiftright("token", 62) == 1
+    code = F.when(outer, F.col("token")).otherwise(F.col("token").bitwiseOR(F.shiftleft(F.least("c", F.lit(RARE)), 55)))
+    found = materialise(found.select("id", code.alias("token")), "counted")
+    own = found.groupBy("id").agg(F.count("*").alias("shared"))
+    sets = prints.where("n > 0 and id is not null").groupBy("id").agg(F.max("n").alias("n"), F.min("counted").alias("counted"), F.max(F.size("frequent")).alias("often"))
+    needed = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
+    take = needed - F.col("counted") + F.coalesce("shared", F.lit(0))
+    take = sets.join(own, "id", "left").select("id", take.alias("take"), (F.coalesce("shared", F.lit(0)) + F.col("often")).alias("there")).where("take > 0 and there > 0").select("id", "take")
+    often = prints.where("n > 0 and id is not null").select("id", F.explode("frequent").alias("token"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("token"))
+    return found.union(often).join(take, "id").distinct().withColumn("place", place).where(F.col("place") <= F.col("take")).select("id", "token")
 
 
 class _Group:
@@ -182,9 +239,8 @@ def similar_components(documents: DataFrame, text: str = "text", key: str = "doc
     known = of_class.where("first is not null")
     firsts = known.where("id = first").select("id", "n", "m1").distinct()
 
-    prefix = some.select("id", F.explode("prefix").alias("token"))
-    twice = prefix.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    shared = prefix.join(twice, "token").join(known.select("id", "first").distinct(), "id").select("token", F.col("first").alias("id")).distinct()
+    prefix = _prefixes(documents, prints, frequent, text, key, percent)
+    shared = prefix.join(known.select("id", "first").distinct(), "id").select("token", F.col("first").alias("id")).distinct()
     shared = materialise(shared, "tokens")
     twice = shared.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     shared = materialise(shared.join(twice, "token"), "tokens")
