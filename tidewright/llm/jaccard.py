@@ -227,7 +227,8 @@ def similar_components(documents: DataFrame, text: str = "text", key: str = "doc
     Equal sets always link. An empty table gives an empty result. Other columns are not read.
 
     Hot groups: equal sets meet in a sum per set before anything else; a token in very many documents comes last in the
-    order; near copies are cut into groups of at most ``GROUP_SETS`` sets or ``GROUP_TOKENS`` tokens on average, and what
+    order; near copies, which share their most frequent token and are
+    of like size, are cut into groups of at most ``GROUP_SETS`` sets or ``GROUP_TOKENS`` tokens on average, and what
     already is in the larger component never asks.
     """
     frequent = frequent_tokens(documents, text, key)
@@ -245,14 +246,16 @@ def similar_components(documents: DataFrame, text: str = "text", key: str = "doc
     twice = shared.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     shared = materialise(shared.join(twice, "token"), "tokens")
 
-    sets = shared.groupBy("id").agg(F.min("token").alias("home"), F.count("*").alias("k")).join(firsts, "id")
+    often = F.struct((-F.shiftright("token", 62)).alias("o"), F.shiftright("token", 55).alias("r"), (-F.col("token")).alias("t"))
+    sets = shared.groupBy("id").agg(F.max_by("token", often).alias("token"), F.count("*").alias("k")).join(firsts, "id")
+    sets = sets.withColumn("step", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")).withColumn("home", F.xxhash64("token", "step"))
     homes = sets.groupBy("home").agg(F.count("*").alias("sets"), F.sum("n").alias("size"), F.max(F.struct("k", (-F.col("id")).alias("i"))).alias("top"))
     homes = homes.select("home", (-F.col("top.i")).alias("leader"), F.greatest(F.ceil(F.col("sets") / GROUP_SETS), F.ceil(F.col("size") / GROUP_TOKENS)).alias("places"))
     places = materialise(
-        sets.join(homes, "home").select("id", "m1", "home", "leader", "places", F.pmod(F.xxhash64("id", F.lit(1)), F.col("places")).alias("place")), "places"
+        sets.join(homes, "home").select("id", "m1", "home", "step", "leader", "places", F.pmod(F.xxhash64("id", F.lit(1)), F.col("places")).alias("place")), "places"
     )
     few = places.count() <= PLACES
-    spot = places.withColumnRenamed("id", "own")
+    spot = places.drop("step").withColumnRenamed("id", "own")
     texts = documents.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     texts = texts.join(F.broadcast(spot) if few else spot, F.col("id") == F.col("own")).drop("own")
 
@@ -267,14 +270,14 @@ def similar_components(documents: DataFrame, text: str = "text", key: str = "doc
     parts = materialise(_within(members, percent), "parts")
 
     sizes = parts.groupBy("part").agg(F.count("*").alias("size"))
-    spots = places.select("id", "home", "place").distinct().join(parts, "id").join(sizes, "part")
-    marked = shared.join(spots, "id").select("token", "id", "home", "place", F.struct("size", "part").alias("rank"))
+    spots = places.select("id", "home", "place", "step").distinct().join(parts, "id").join(sizes, "part")
+    marked = shared.join(spots, "id").select("token", "id", "home", "place", "step", F.struct("size", "part").alias("rank"))
     mixed_tokens = marked.groupBy("token").agg(F.min("rank").alias("lo"), F.max("rank").alias("hi")).where("lo < hi").select("token")
     marked = materialise(marked.join(mixed_tokens, "token"), "marked")
-    matrix = marked.groupBy("token", "home", "place").agg(F.max("rank").alias("rank"))
-    matrix = matrix.groupBy("token").agg(F.collect_list(F.struct("home", "place", "rank")).alias("groups"))
+    matrix = marked.groupBy("token", "home", "place", "step").agg(F.max("rank").alias("rank"))
+    matrix = matrix.groupBy("token").agg(F.collect_list(F.struct("home", "place", "step", "rank")).alias("groups"))
     asked = marked.join(matrix, "token").select(
-        "id", F.filter("groups", lambda g: (g["rank"] > F.col("rank")) & ((g["home"] != F.col("home")) | (g["place"] != F.col("place")))).alias("groups")
+        "id", F.filter("groups", lambda g: (g["rank"] > F.col("rank")) & (F.abs(g["step"] - F.col("step")) <= 1) & ((g["home"] != F.col("home")) | (g["place"] != F.col("place")))).alias("groups")
     )
     asked = asked.where(F.size("groups") > 0).select("id", F.transform("groups", lambda g: F.struct(g["home"].alias("home"), g["place"].alias("place"))).alias("groups"))
     asked = asked.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("groups"))).alias("groups"))
