@@ -26,6 +26,8 @@ PERCENT, SHINGLE = 75, 5
 SAMPLE, FREQUENT = 64, 1 << 16
 #: Two fifths of all tokens are counted. Counts from here on rank alike; frequent tokens rank higher.
 COUNTED, RARE = 2, 111
+#: Prefixes are longer by this part of a set: one token in common is not enough then to ask a group.
+MORE = 0.05
 #: Sets and tokens of a group; queries that a group is opened for at a time.
 GROUP_SETS, GROUP_TOKENS, QUERIES = 256, 1 << 20, 4096
 #: Documents whose places are broadcast; more are joined by a shuffle.
@@ -55,6 +57,16 @@ def _needed(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
+def _step(n, percent: int):
+    """Size class of a set; sets that link are in one class or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+
+
+def _more(step, percent: int):
+    """Tokens by which prefixes of a size class are longer, so that sets that link share one more than that."""
+    return F.floor(F.pow(F.lit(100.0 / percent), step) * MORE).cast("int")
+
+
 def frequent_tokens(documents: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[np.ndarray, np.ndarray]:
     """Codes of the most frequent tokens of a sample of rows, in order, and a rank of how often they occur in it."""
     rows = documents.where(F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(SAMPLE)) == 0).select(F.col(f"`{text}`").alias("text"))
@@ -80,7 +92,7 @@ def _leading(tokens: np.ndarray, frequent, percent: int) -> tuple[np.ndarray, np
     codes = _codes(tokens)
     codes.sort()
     inner = int(np.searchsorted(codes, np.uint64(1) << np.uint64(62)))
-    codes = codes[: max(inner, _needed(len(tokens), percent) if len(tokens) else 0)]
+    codes = codes[: max(inner, _needed(len(tokens), percent) + int(MORE * len(tokens)) if len(tokens) else 0)]
     if not len(often):
         return codes, codes[:0]
     at = np.minimum(np.searchsorted(often, codes), len(often) - 1)
@@ -133,7 +145,9 @@ def _prefixes(documents: DataFrame, prints: DataFrame, frequent, text: str, key:
     sets = prints.where("n > 0 and id is not null").groupBy("id").agg(F.max("n").alias("n"), F.min("counted").alias("counted"), F.max(F.size("frequent")).alias("often"))
     needed = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
     take = needed - F.col("counted") + F.coalesce("shared", F.lit(0))
-    take = sets.join(own, "id", "left").select("id", take.alias("take"), (F.coalesce("shared", F.lit(0)) + F.col("often")).alias("there")).where("take > 0 and there > 0").select("id", "take")
+    there = F.coalesce("shared", F.lit(0)) + F.col("often")
+    more = _more(_step(F.col("n"), percent), percent)
+    take = sets.join(own, "id", "left").where((take > 0) & (there > more)).select("id", (take + more).alias("take"))
     often = prints.where("n > 0 and id is not null").select("id", F.explode("frequent").alias("token"))
     place = F.row_number().over(Window.partitionBy("id").orderBy("token"))
     return found.union(often).join(take, "id").distinct().withColumn("place", place).where(F.col("place") <= F.col("take")).select("id", "token")
@@ -248,7 +262,7 @@ def similar_components(documents: DataFrame, text: str = "text", key: str = "doc
 
     often = F.struct((-F.shiftright("token", 62)).alias("o"), F.shiftright("token", 55).alias("r"), (-F.col("token")).alias("t"))
     sets = shared.groupBy("id").agg(F.max_by("token", often).alias("token"), F.count("*").alias("k")).join(firsts, "id")
-    sets = sets.withColumn("step", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")).withColumn("home", F.xxhash64("token", "step"))
+    sets = sets.withColumn("step", _step(F.col("n"), percent)).withColumn("home", F.xxhash64("token", "step"))
     homes = sets.groupBy("home").agg(F.count("*").alias("sets"), F.sum("n").alias("size"), F.max(F.struct("k", (-F.col("id")).alias("i"))).alias("top"))
     homes = homes.select("home", (-F.col("top.i")).alias("leader"), F.greatest(F.ceil(F.col("sets") / GROUP_SETS), F.ceil(F.col("size") / GROUP_TOKENS)).alias("places"))
     places = materialise(
@@ -277,11 +291,14 @@ def similar_components(documents: DataFrame, text: str = "text", key: str = "doc
     matrix = marked.groupBy("token", "home", "place", "step").agg(F.max("rank").alias("rank"))
     matrix = matrix.groupBy("token").agg(F.collect_list(F.struct("home", "place", "step", "rank")).alias("groups"))
     asked = marked.join(matrix, "token").select(
-        "id", F.filter("groups", lambda g: (g["rank"] > F.col("rank")) & (F.abs(g["step"] - F.col("step")) <= 1) & ((g["home"] != F.col("home")) | (g["place"] != F.col("place")))).alias("groups")
+        "id", "step", F.filter("groups", lambda g: (g["rank"] > F.col("rank")) & (F.abs(g["step"] - F.col("step")) <= 1) & ((g["home"] != F.col("home")) | (g["place"] != F.col("place")))).alias("groups")
+    )
+    asked = asked.where(F.size("groups") > 0).select("id", "step", F.transform("groups", lambda g: F.struct(g["home"].alias("home"), g["place"].alias("place"), g["step"].alias("step"))).alias("groups"))
+    asked = asked.groupBy("id", "step").agg(F.flatten(F.collect_list("groups")).alias("groups"))
+    enough = F.filter(
+        F.array_distinct("groups"), lambda g: F.size(F.filter("groups", lambda x: x == g)) > _more(F.least(g["step"], F.col("step")), percent)
     )
-    asked = asked.where(F.size("groups") > 0).select("id", F.transform("groups", lambda g: F.struct(g["home"].alias("home"), g["place"].alias("place"))).alias("groups"))
-    asked = asked.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("groups"))).alias("groups"))
-    asked = materialise(asked.select("id", F.explode("groups").alias("g")).select("id", "g.home", "g.place"), "asked")
+    asked = materialise(asked.select("id", F.explode(enough).alias("g")).select("id", "g.home", "g.place"), "asked")
 
     turns = asked.groupBy("home", "place").agg(F.ceil(F.count("*") / QUERIES).alias("turns"))
     held = members.select("id", "tokens", "home", "place").join(parts, "id")
