@@ -99,10 +99,11 @@ def _back(u, keep, grad, codes):
     return gx.astype(np.float32), gu, gc
 
 
-def train(samples: list[tuple[str, str]], width: int = 8, span: int = 128, passes: int = 16, many: int = 256, rate: float = 0.03, seed: int = 7) -> Network | None:
+def train(samples: list[tuple[str, str]], width: int = 8, span: int = 128, steps: int = 320, many: int = 256, rate: float = 0.03, seed: int = 7) -> Network | None:
     """Fit a network to ``(language, text)`` pairs; ``None`` if there is no pair.
 
-    The samples are cut into windows of ``span`` bytes. Each position of a window is a case to learn.
+    The samples are cut into windows of ``span`` bytes. Each position of a window is a case to learn. ``steps`` batches of ``many`` windows are
+    learned from, rounded up to whole passes over the samples.
     """
     languages = sorted({name for name, _ in samples})
     codes, labels = [], []
@@ -119,8 +120,7 @@ def train(samples: list[tuple[str, str]], width: int = 8, span: int = 128, passe
     w = _initial(len(languages), width, random)
     codes, labels = np.array(codes).T, np.array(labels)
     m1, m2, step = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
-    total = passes * -(-len(labels) // many)
-    for _ in range(passes):
+    for _ in range(-(-steps // -(-len(labels) // many))):
         turn = random.permutation(len(labels))
         for at in range(0, len(turn), many):
             part = codes[:, turn[at : at + many]]
@@ -138,7 +138,7 @@ def train(samples: list[tuple[str, str]], width: int = 8, span: int = 128, passe
             for side, kept, d in (("f", seen[0], dh[:, :width]), ("b", seen[1], dh[:, width:])):
                 grads[f"x{side}"], grads[f"u{side}"], grads[f"c{side}"] = _back(w[f"u{side}"], kept, d, part)
             step += 1
-            pace = rate * (1 - step / (total + 1)) ** 0.5
+            pace = rate * max(1 - step / (steps + 1), 0.01) ** 0.5
             for k, g in grads.items():
                 m1[k] = 0.9 * m1[k] + 0.1 * g
                 m2[k] = 0.99 * m2[k] + 0.01 * g * g
