@@ -136,13 +136,14 @@ def test_split(spark):
     assert {r.id for r in shaping.side_output(tagged, "even").collect()} == {2, 4, 6, 8, 10}
 
 
-def test_iterate(spark):
+def test_iterate(spark, rows):
     df = spark.createDataFrame([(v, v) for v in (5, 6, 1, 2, 0, -3, 101)], "start int, v int")
     for steps in (1, 3, 16):
         out = shaping.iterate_until(df, "v", lambda v: v - 2, lambda v: v > 0, steps_per_round=steps)
         assert {r.start: r.v for r in out.collect()} == {5: -1, 6: 0, 1: -1, 2: 0, 0: -2, -3: -5, 101: -1}
-    with pytest.raises(RuntimeError):
-        shaping.iterate_until(df, "v", lambda v: v + 1, lambda v: v > 0, steps_per_round=2, most_rounds=3)
+    long = spark.createDataFrame([(1, 3000), (2, None), (3, 1)], "id int, v int")
+    found = shaping.iterate_until(long, "v", lambda v: v - 2, lambda v: v > 0, steps_per_round=2)
+    assert rows(found) == [(1, 0), (2, None), (3, -1)]
 
 
 def test_above_and_rebalance(spark):

@@ -6,16 +6,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.operators.ordered import Ordered, lowest, order_number
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 
 
-def broadcast_if_small(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most_rows`` rows, else as it is.
+def broadcast_if_small(df: DataFrame, most_rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``most_rows`` rows and ``most_bytes`` as text, else as it is.
 
-    Without the hint the join shuffles both sides and AQE splits the partitions of hot keys. The
-    count stops after ``most_rows + 1`` rows.
+    Without the hint the join shuffles both sides and AQE splits the partitions of hot keys. No more
+    than ``most_rows + 1`` rows are measured.
     """
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+    width = F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    rows, size = df.limit(most_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if rows <= most_rows and size <= most_bytes else df
 
 
 def last_put_wins(dimension: DataFrame, key: str, order: str) -> DataFrame:

@@ -57,8 +57,10 @@ def running_max(df, keys, value, order, others=(), other_fields="first", **cut)
 
 
 def _ranked(df, value, order, payload, sign) -> Column:
+    """The row under its value and place; null, which every extreme skips, where the value is null."""
     place = [(p if sign > 0 else -p).alias(f"p{i}") for i, p in enumerate(_place(df, order))]
-    return F.struct(F.col(value).alias("v"), *place, F.struct(*payload).alias("row"))
+    ranked = F.struct(F.col(value).alias("v"), *place, F.struct(*payload).alias("row"))
+    return F.when(F.col(value).isNotNull(), ranked)
 
 
 def running_minby(df, keys, value, order, payload, prefix="min_", **cut) -> DataFrame:

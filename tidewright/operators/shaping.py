@@ -79,29 +79,31 @@ def iterate_until(
     step: Callable[[Column], Column],
     again: Callable[[Column], Column],
     steps_per_round: int = 16,
-    most_rounds: int = 64,
 ) -> DataFrame:
     """A feedback loop: every value takes the step, and takes it again while ``again`` holds.
 
-    A round does up to ``steps_per_round`` steps inside one expression. Only the rows still in the
-    loop after it are written to the shared folder, which cuts their lineage; the finished ones stay
-    an expression of their input.
+    The first round does up to ``steps_per_round`` steps inside one expression, each later one twice as
+    many, up to 4,096. Only the rows still in the loop after it are written to the shared folder, which
+    cuts their lineage; the finished ones stay an expression of their input. The loop has no other bound
+    than ``again``. A row for which ``again`` is null leaves the loop.
     """
     kind = df.schema[value].dataType
     typed = lambda c: step(c).cast(kind)
 
-    def round_of(column: Column) -> Column:
+    goes_on = lambda c: F.coalesce(again(c), F.lit(False))
+
+    def round_of(column: Column, steps: int) -> Column:
         first = typed(column)
-        rest = F.sequence(F.lit(1), F.lit(steps_per_round - 1)) if steps_per_round > 1 else F.array().cast("array<int>")
-        return F.aggregate(rest, first, lambda v, _: F.when(again(v), typed(v)).otherwise(v))
+        rest = F.sequence(F.lit(1), F.lit(steps - 1)) if steps > 1 else F.array().cast("array<int>")
+        return F.aggregate(rest, first, lambda v, _: F.when(goes_on(v), typed(v)).otherwise(v))
 
     finished = None
     active = df
-    for _ in range(most_rounds):
-        stepped = active.withColumn(value, round_of(F.col(value)))
-        active = materialise(stepped.where(again(F.col(value))))
-        done = stepped.where(~again(F.col(value)))
+    while True:
+        stepped = active.withColumn(value, round_of(F.col(value), steps_per_round))
+        active = materialise(stepped.where(goes_on(F.col(value))))
+        done = stepped.where(~goes_on(F.col(value)))
         finished = done if finished is None else finished.unionByName(done)
         if active.isEmpty():
             return finished
-    raise RuntimeError(f"rows are still in the loop after {most_rounds} rounds of {steps_per_round} steps")
+        steps_per_round = max(steps_per_round, min(2 * steps_per_round, 4096))
