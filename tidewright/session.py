@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,8 +64,37 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidewright/{label}-{uuid.uuid4().hex}"
 
 
+#: Shuffle files go when the execution that wrote them ends, not when the driver next collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Executions inside remove their shuffle files at their end; the session's own setting holds again afterwards."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def materialise(df: DataFrame, label: str = "rows") -> DataFrame:
     """Compute ``df`` once, into a table of the shared folder; it outlives the executors that wrote it."""
     path = new_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    rows.written_to = path
+    return rows
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`materialise` wrote, once what was computed from them is written itself."""
+    for rows in tables:
+        spark = rows.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(rows.written_to)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
