@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidewright.session import materialise
+from tidewright.session import discard, materialise
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -15,11 +15,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     shuffle, and AQE splits the links of a node with very many. Links to itself name a lone node.
     Null ends are left out; an empty table gives an empty result.
     """
-    links = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).dropna()
+    links = materialise(links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).dropna(), "given")
     nodes = materialise(links.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "nodes")
     now = materialise(
         links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links"
     )
+    discard(links)
 
     def mark(df):
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -32,7 +33,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
-        now = materialise(small.select("e.u", F.col("e.m").alias("v")).where("u <> v").distinct(), "links")
+        old, now = now, materialise(small.select("e.u", F.col("e.m").alias("v")).where("u <> v").distinct(), "links")
+        discard(old)
         after = mark(now)
         if after == before:
             break

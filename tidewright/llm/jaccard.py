@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidewright.llm.common import batch, by_group, map_batches, mixed, shingle_hashes, signed, stretches, lists, word_hashes
 from tidewright.llm.graph import components
-from tidewright.session import materialise
+from tidewright.session import discard, materialise
 
 #: Per cent of the union that two sets share to link; words in a shingle.
 PERCENT, SHINGLE = 75, 5
@@ -131,8 +131,8 @@ def _counted(documents: DataFrame, frequent, text: str, key: str, percent: int)
     return map_batches(rows, run, "token long, id long")
 
 
-def _prefixes(documents: DataFrame, prints: DataFrame, frequent, text: str, key: str, percent: int) -> DataFrame:
-    """``token`` and ``id``: the tokens of each prefix that may be shared, of documents that may link.
+def _prefixes(documents: DataFrame, prints: DataFrame, frequent, text: str, key: str, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``token`` and ``id``: the tokens of each prefix that may be shared, of documents that may link; and the table they are read from.
 
     The tokens go through one shuffle, in which each is counted. Frequent ones stay out of it, so no token is hot there.
     """
@@ -150,7 +150,7 @@ def _prefixes(documents: DataFrame, prints: DataFrame, frequent, text: str, key:
     take = sets.join(own, "id", "left").where((take > 0) & (there > more)).select("id", (take + more).alias("take"))
     often = prints.where("n > 0 and id is not null").select("id", F.explode("frequent").alias("token"))
     place = F.row_number().over(Window.partitionBy("id").orderBy("token"))
-    return found.union(often).join(take, "id").distinct().withColumn("place", place).where(F.col("place") <= F.col("take")).select("id", "token")
+    return found.union(often).join(take, "id").distinct().withColumn("place", place).where(F.col("place") <= F.col("take")).select("id", "token"), found
 
 
 class _Group:
@@ -254,11 +254,13 @@ def similar_components(documents: DataFrame, text: str = "text", key: str = "doc
     known = of_class.where("first is not null")
     firsts = known.where("id = first").select("id", "n", "m1").distinct()
 
-    prefix = _prefixes(documents, prints, frequent, text, key, percent)
+    prefix, counted = _prefixes(documents, prints, frequent, text, key, percent)
     shared = prefix.join(known.select("id", "first").distinct(), "id").select("token", F.col("first").alias("id")).distinct()
-    shared = materialise(shared, "tokens")
-    twice = shared.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    shared = materialise(shared.join(twice, "token"), "tokens")
+    leading = materialise(shared, "tokens")
+    discard(counted, prints)
+    twice = leading.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    shared = materialise(leading.join(twice, "token"), "tokens")
+    discard(leading)
 
     often = F.struct((-F.shiftright("token", 62)).alias("o"), F.shiftright("token", 55).alias("r"), (-F.col("token")).alias("t"))
     sets = shared.groupBy("id").agg(F.max_by("token", often).alias("token"), F.count("*").alias("k")).join(firsts, "id")
@@ -288,6 +290,7 @@ def similar_components(documents: DataFrame, text: str = "text", key: str = "doc
     marked = shared.join(spots, "id").select("token", "id", "home", "place", "step", F.struct("size", "part").alias("rank"))
     mixed_tokens = marked.groupBy("token").agg(F.min("rank").alias("lo"), F.max("rank").alias("hi")).where("lo < hi").select("token")
     marked = materialise(marked.join(mixed_tokens, "token"), "marked")
+    discard(shared, places)
     matrix = marked.groupBy("token", "home", "place", "step").agg(F.max("rank").alias("rank"))
     matrix = matrix.groupBy("token").agg(F.collect_list(F.struct("home", "place", "step", "rank")).alias("groups"))
     asked = marked.join(matrix, "token").select(
@@ -299,6 +302,7 @@ def similar_components(documents: DataFrame, text: str = "text", key: str = "doc
         F.array_distinct("groups"), lambda g: F.size(F.filter("groups", lambda x: x == g)) > _more(F.least(g["step"], F.col("step")), percent)
     )
     asked = materialise(asked.select("id", F.explode(enough).alias("g")).select("id", "g.home", "g.place"), "asked")
+    discard(marked)
 
     turns = asked.groupBy("home", "place").agg(F.ceil(F.count("*") / QUERIES).alias("turns"))
     held = members.select("id", "tokens", "home", "place").join(parts, "id")
@@ -312,6 +316,7 @@ def similar_components(documents: DataFrame, text: str = "text", key: str = "doc
     several = known.select("id", "first").distinct().groupBy("id").agg(F.collect_set("first").alias("f")).where(F.size("f") > 1)
     links = links.union(parts).union(several.select("id", F.explode("f")))
     found = components(links).select(F.col("node").alias("first"), "component")
+    discard(asked, members, parts)
     return of_class.join(found, "first", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("component", "first", "id").alias("component_id")
     )
