@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 #: Bytes of text that are worked on at a time; a longer text is a stretch of its own.
 STRETCH = 1 << 20
+#: Bytes of an Arrow batch; Spark and Python each hold a few of them for each task.
+BATCH_BYTES = 1 << 23
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -124,8 +126,14 @@ def batch(schema: T.StructType, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[f.name for f in kinds])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of this session end at ``BATCH_BYTES``, however long its texts are; a longer row is a batch of its own."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``function`` from a record batch to an iterator of column lists, over each batch of ``df``."""
+    small_batches(df.sparkSession)
     kinds = T.StructType.fromDDL(schema)
 
     def run(batches):

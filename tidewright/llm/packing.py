@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidewright.llm.common import batch, by_group
+from tidewright.llm.common import batch, by_group, small_batches
 from tidewright.session import materialise
 
 #: Words in a bin, documents of one source in a bin, documents that are packed together on average.
@@ -82,6 +82,7 @@ def pack(documents: DataFrame, cluster: Column | None = None, room: int = ROOM,
     Rows are dealt by a hash into sets of about ``TOGETHER`` rows, each packed in a task with one row of memory for each
     document, so neither a hot source nor a hot cluster gathers anywhere; its rows are dealt like all others.
     """
+    small_batches(documents.sparkSession)
     text = F.col("text")
     words = F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
     cluster = F.xxhash64(text) if cluster is None else cluster
