@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewright.llm.common import map_batches, stretches
@@ -207,11 +208,12 @@ def sample(documents: DataFrame, chosen: Column, per_language: int = 640, chars:
 def _labelled(documents: DataFrame, network: Network | None, text: str, keep: tuple[str, ...]) -> DataFrame:
     """The ``keep`` columns as struct ``kept``, with ``lang_pred``, ``score`` and ``n_bytes``."""
     kept = F.struct(*(F.col(f"`{k}`") for k in keep))
-    rows = documents.select(kept.alias("kept"), F.when(F.col(f"`{text}`").rlike("\\p{L}"), F.col(f"`{text}`")).alias("text"))
+    rows = documents.select(kept.alias("kept"), F.col(f"`{text}`").rlike("\\p{L}").alias("lettered"), *([] if text in keep else [F.col(f"`{text}`").alias("text")]))
     kind = rows.schema["kept"].dataType.simpleString()
 
     def label(part: pa.RecordBatch):
-        texts = part.column("text")
+        texts = pc.struct_field(part.column("kept"), keep.index(text)) if text in keep else part.column("text")
+        texts = pc.if_else(part.column("lettered"), texts, None)
         names, scores, sizes = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         for a, b, data, places in stretches(texts, READ) if network is not None else ():
             sizes[a:b] = np.diff(places)
