@@ -358,3 +358,10 @@ def test_python_functions(spark):
 
 def test_processing_time_column(spark):
     assert windows.at_processing_time(spark.range(3)).select("proc_time").distinct().count() == 1
+
+
+def test_user_fold_keeps_large_nullable_keys(spark):
+    data = [(2**53, 1), (2**53 + 1, 2), (2**53 + 1, 3), (None, 4), (None, 6)]
+    got = winfuncs.reduce_function(spark.createDataFrame(data, "k bigint, v bigint"), ["k"], "v", lambda a, b: a + b, "bigint")
+    assert got.schema["k"].dataType.simpleString() == "bigint"
+    assert {(r.k, r.v) for r in got.collect()} == {(2**53, 1), (2**53 + 1, 5), (None, 10)}

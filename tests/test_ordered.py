@@ -116,3 +116,21 @@ def test_small_input_keeps_the_plain_window(spark):
     out = Ordered(df, "id", ["k"]).running(n=rows())
     plan = out.rows()._jdf.queryExecution().executedPlan().toString()
     assert not out.levels and plan.count("Exchange") == 1
+
+
+def test_wide_order_values(spark):
+    """The span of hashes is wider than a long."""
+    df = spark.range(400).select(F.xxhash64("id").alias("s"), F.lit(1).alias("one"))
+    out = Ordered(df, "s", rows_per_slice=10).running(n=rows())
+    assert out.levels
+    places = sorted(r.s for r in df.collect())
+    assert sorted((r.s, r.n) for r in out.rows().collect()) == [(s, i + 1) for i, s in enumerate(places)]
+
+
+def test_type_does_not_depend_on_the_cut(spark):
+    df = spark.range(100).select("id", (F.col("id") / 4).cast("decimal(18,2)").alias("v"))
+    plain, cut = (Ordered(df, "id", rows_per_slice=n).running(s=total("v")).rows() for n in (1000, 10))
+    assert plain.schema["s"].dataType == cut.schema["s"].dataType
+    assert sorted(plain.collect()) == sorted(cut.collect())
+    plain, cut = (Ordered(df, "id", rows_per_slice=n).whole(s=total("v")).rows() for n in (1000, 10))
+    assert plain.schema["s"].dataType == cut.schema["s"].dataType

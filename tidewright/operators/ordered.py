@@ -75,6 +75,11 @@ def order_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name}: order by an integer, date or timestamp column, not {kind.simpleString()}")
 
 
+def _apart(high: Column, low: Column) -> Column:
+    """The difference of two longs, however far apart they are."""
+    return (high.cast("decimal(19,0)") - low.cast("decimal(19,0)")).cast("double")
+
+
 def _all(conditions: list[Column]) -> Column:
     result = F.lit(True)
     for condition in conditions:
@@ -117,7 +122,7 @@ class Ordered:
                 F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__lo"), F.max("__place").alias("__hi")
             )
             crowded = groups.where((F.col("__n") > limit * share) & (F.col("__hi") > F.col("__lo")))
-            span = (F.col("__hi") - F.col("__lo") + 1).cast("double")
+            span = _apart(F.col("__hi"), F.col("__lo")) + 1
             crowded = materialise(
                 crowded.select(
                     *[F.col(c).alias(f"__by{i}") for i, c in enumerate(by)],
@@ -140,7 +145,7 @@ class Ordered:
             only = crowded.first()
             wide, lo, width = df, F.lit(only["__lo"]), F.lit(only["__width"])
         first = F.lit(-(1 << 63))
-        number = F.when(width.isNotNull(), F.coalesce(F.floor((place - lo) / width).cast("long"), first))
+        number = F.when(width.isNotNull(), F.coalesce(F.floor(_apart(place, lo) / width).cast("long"), first))
         return wide.withColumn(f"__slice{len(self.levels)}", number).drop(
             "__lo", "__width", *[f"__by{i}" for i in range(len(by))]
         )
@@ -203,9 +208,11 @@ class Ordered:
         joined = result.join(F.broadcast(carry), same, "left")
         return joined.withColumns(
             {
-                name: F.coalesce(F.col(f"__carry_{name}"), F.col(name))
-                if replace
-                else _continue(a.kind, F.col(f"__carry_{name}"), F.col(name))
+                name: (
+                    F.coalesce(F.col(f"__carry_{name}"), F.col(name))
+                    if replace
+                    else _continue(a.kind, F.col(f"__carry_{name}"), F.col(name))
+                ).cast(result.schema[name].dataType)
                 for name, a in aggregates.items()
             }
         ).drop(*alias, *[f"__carry_{name}" for name in aggregates])

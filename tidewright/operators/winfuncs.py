@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewright.operators.ordered import Ordered, rows
 
@@ -53,11 +53,14 @@ def aggregate_function(
     hands on its accumulators when it holds ``flush_keys`` of them.
     """
     fields = [f.strip().split()[0] for f in accumulator.split(",")]
-    key_ddl = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    kinds = {k: df.schema[k].dataType for k in keys}
+    # pandas has whole numbers with nulls as floating point, so these keys go through it as text
+    whole = [k for k in keys if isinstance(kinds[k], T.IntegralType)]
+    key_ddl = ", ".join(f"`{k}` {'string' if k in whole else kinds[k].simpleString()}" for k in keys)
     schema = f"{key_ddl}, {accumulator}"
 
     def rows_of(held: dict) -> pd.DataFrame:
-        return pd.DataFrame([(*k, *a) for k, a in held.items()], columns=[*keys, *fields])
+        return pd.DataFrame([(*k, *a) for k, a in held.items()], columns=[*keys, *fields], dtype=object)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
@@ -86,12 +89,14 @@ def aggregate_function(
                     out.append((*key, *acc))
                 key, acc = k, a
             if out:
-                yield pd.DataFrame(out, columns=[*keys, *fields])
+                yield pd.DataFrame(out, columns=[*keys, *fields], dtype=object)
         if key is not None:
-            yield pd.DataFrame([(*key, *acc)], columns=[*keys, *fields])
+            yield pd.DataFrame([(*key, *acc)], columns=[*keys, *fields], dtype=object)
 
-    partial = df.select(*keys, value).mapInPandas(fold, schema)
-    return partial.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(combine, schema)
+    passed = df.withColumns({k: F.col(k).cast("string") for k in whole})
+    partial = passed.select(*keys, value).mapInPandas(fold, schema)
+    done = partial.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(combine, schema)
+    return done.withColumns({k: F.col(k).cast(kinds[k]) for k in whole})
 
 
 def reduce_function(df: DataFrame, keys: list[str], value: str, function: Callable, kind: str) -> DataFrame:

@@ -74,8 +74,9 @@ class CountWindow(StatefulProcessor):
         seen = self.seen.get()[0] if self.seen.exists() else 0
         last = [v[0] for v in self.last.get()]
         for pdf in rows:
-            values = pd.Series(last + pdf["value"].tolist())
-            sums = values.rolling(self.size, min_periods=1).sum().astype("int64")
+            values = pd.Series(last + pdf["value"].tolist(), dtype="int64")
+            so_far = values.cumsum()
+            sums = so_far - so_far.shift(self.size, fill_value=0)
             numbers = pd.Series(range(seen - len(last) + 1, seen + len(pdf) + 1))
             fires = (numbers > seen) & (numbers % self.slide == 0)
             seen += len(pdf)

@@ -48,10 +48,11 @@ def kept_in_state(aggregate: DataFrame, checkpoint: str, trigger: dict | None =
     return state_rows(aggregate.sparkSession, checkpoint).select("key.*", "value.*")
 
 
-def run_then_resume(first: DataFrame, second: DataFrame, checkpoint: str) -> DataFrame:
-    """Run ``first`` until it fails or ends, then go on with ``second`` from the same checkpoint."""
+def run_then_resume(first: DataFrame, second: DataFrame, checkpoint: str, message: str = "poison row") -> DataFrame:
+    """Run ``first`` until it ends or fails with ``message``, then go on with ``second`` from the same checkpoint."""
     try:
         kept_in_state(first, checkpoint)
-    except StreamingQueryException:
-        pass
+    except StreamingQueryException as error:
+        if message not in str(error):
+            raise
     return kept_in_state(second, checkpoint)
