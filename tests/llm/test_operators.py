@@ -188,6 +188,18 @@ def test_extract(spark):
         assert r.text == " ".join(b for b in blocks if b)
 
 
+def test_extract_gaps_in_article():
+    """What is left out inside a marked article costs no heading and no short paragraph on either side."""
+    long = "x" * 299 + "."
+    left_out = ("<div class=share>Share</div>", "<div class=ad>Buy</div>", "<aside>Side</aside>", "<form><p>Mail</p></form>")
+    for name in ("article", "main"):
+        for one in left_out:
+            for other in left_out:
+                page = f"<nav>Home</nav><{name}><h1>A short headline</h1>{one}<p>{long}</p>{other}<p>Short.</p>{one}<p>Closing line.</p></{name}><p>Outside</p>"
+                assert extract.main_text(page) == f"A short headline {long} Short. Closing line."
+    assert extract.main_text(f"<main><h1>Head</h1><article><p>{long}</p></article><p>End.</p></main><article>Teaser</article>") == f"Head {long} End."
+
+
 def test_language_model(spark, docs, none):
     rows = [(r[0], r[1]) for r in ROWS]
     found = [r for r in hmm.language_model(docs, fold_of(F.col("doc_id")) != 1, head=12, warm=1, rounds=2).collect()]

@@ -3,7 +3,7 @@
 Markup is stripped into lines, one for each block element. Text lengths are summed over a sliding window of lines.
 Where the sum surges above a threshold a body of text begins, where it dives to nothing it ends, and the text between
 is kept. Elements that say they are not content (menus, adverts, comments and so on) leave empty lines, so the sum
-dives there.
+dives there, but not within an element that is marked as the article.
 """
 
 from __future__ import annotations
@@ -60,7 +60,8 @@ def _says_not_content(attributes: str, inside: bool) -> bool:
 def lines_of(page: str) -> list[tuple[str, int]]:
     """The text of each block of a page with its length outside links; ``("", 0)`` where something was left out.
 
-    If the page marks an ``article`` or ``main`` element, what is outside it counts as left out.
+    If the page marks an ``article`` or ``main`` element, what is outside it counts as left out. What is left out inside
+    it ends a line only, so it does not part the text before it from the text after it.
     """
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
@@ -80,7 +81,8 @@ def lines_of(page: str) -> list[tuple[str, int]]:
 
     def gap():
         end_line()
-        lines.extend([("", 0, True)] * WINDOW)
+        if not body:
+            lines.extend([("", 0, True)] * WINDOW)
 
     lower = None
     while True:
