@@ -200,6 +200,24 @@ def test_extract_gaps_in_article():
     assert extract.main_text(f"<main><h1>Head</h1><article><p>{long}</p></article><p>End.</p></main><article>Teaser</article>") == f"Head {long} End."
 
 
+def test_extract_omitted_end_tags():
+    """A skipped element ends where its end tag may be left out, and with the elements around it."""
+    text = "article text " * 20
+    kept = text.strip()
+    for left_out in (
+        "<p class=notice>No<p>", "<p class=notice>No<div>", "<ul><li class=menu-item>A<li class=menu-item>B</ul><p>", "<dl><dt class=ad>A<dd class=ad>B</dl><p>",
+        "<table><tr><td class=ad>A<td class=ad>B<tr class=ad><td>C</table><p>", "<table><tr class=ad><td>A<tbody class=ad><tr><td>B</table><p>", "<div><p class=ad>A</div><p>", "<section><div class=ad>A</section><p>",
+        "<div class=ad><div>A</div><p>B<p>C</div><p>", "<p><span class=ad>A</p><p>", "<a class=share><p>A</a><p>", "<div class=ad><table><tr><td>A</div>B</table></div><p>",
+        "<ul class=menu><li>A<ul><li>B</ul><li>C</ul><p>", "<form><select><option>A<option>B</select></form><p>", "<div class=ad><b><p>A</b>B</div><p>", "<table><form><tr><td>A</form></table><p>",
+        "<article class=comment>A<p>B</article><p>", "<div><article class=comment>A</div><p>",
+    ):
+        assert extract.main_text(f"{left_out}{text}") == kept, left_out
+        assert extract.main_text(f"<body><article>{left_out}{text}</article>After</body>") == kept, left_out
+    assert extract.main_text(f"<article><h1>Head</h1><div class=ad>A</article><article><p>{text}</article><p>Out") == kept
+    assert extract.main_text(f"<article><p>{text}<p class=ad>A</article><p>Out</p><article><h2>Next</h2><p>{text}</article>") == f"{kept} Next {kept}"
+    assert extract.main_text(f"<html><head><meta x=1><title>T</title><body><p>{text}") == kept
+
+
 def test_language_model(spark, docs, none):
     rows = [(r[0], r[1]) for r in ROWS]
     found = [r for r in hmm.language_model(docs, fold_of(F.col("doc_id")) != 1, head=12, warm=1, rounds=2).collect()]

@@ -27,6 +27,25 @@ INLINE = frozenset(
     "strike strong sub sup time tt u var wbr".split()
 )
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
+FORMAT = frozenset("a b big code em font i s small strike strong tt u".split())
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr li listing main menu nav ol p plaintext pre search section summary table ul xmp".split()
+)
+#: Elements that an end tag inside them does not reach out of.
+SCOPE = frozenset("td th caption table button object html".split())
+_TABLE, _LIST = frozenset(["table"]), SCOPE | frozenset("ul ol menu dir dl section article main nav aside blockquote figure form fieldset header footer select".split())
+_ROWS = frozenset("thead tbody tfoot".split())
+#: What an opening tag ends although its end tag is left out, and the elements that this does not reach out of.
+OMITTED = {
+    "li": (frozenset(["li"]), _LIST), "dt": (frozenset(["dt", "dd"]), _LIST), "dd": (frozenset(["dt", "dd"]), _LIST),
+    "td": (frozenset(["td", "th"]), _TABLE), "th": (frozenset(["td", "th"]), _TABLE), "tr": (frozenset(["tr", "caption"]), _TABLE),
+    **{n: (_ROWS | {"tr", "caption", "colgroup"}, _TABLE) for n in _ROWS},
+    "option": (frozenset(["option"]), frozenset(["select", "datalist", "optgroup"])), "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select"])),
+}
+#: The same for end tags; others stop at ``SCOPE``, those of inline elements at any block.
+REACH = {"li": _LIST - {"dl"}, **{n: _TABLE for n in ("td", "th", "tr", "caption", "colgroup", *_ROWS)}, **{n: frozenset() for n in ("table", "form", "body", "html")}}
 
 #: Words of a class, id or role that mark an element as something other than the article.
 BOILERPLATE = frozenset(
@@ -57,6 +76,58 @@ def _says_not_content(attributes: str, inside: bool) -> bool:
     return False
 
 
+class _Open:
+    """The open elements of a page, with the end tags that may be left out, and the place of the one that is skipped, or -1."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.count: dict[str, int] = {}
+        self.skipped = -1
+
+    def _find(self, ends, stops) -> int:
+        """The innermost of ``ends`` that is inside of ``stops``, or -1; no ``stops`` stands for any block."""
+        if any(self.count.get(e) for e in ends):
+            for i in range(len(self.names) - 1, -1, -1):
+                if self.names[i] in ends:
+                    return i
+                if self.names[i] in stops if stops is not None else self.names[i] not in INLINE:
+                    break
+        return -1
+
+    def _cut(self, at: int, end: int) -> None:
+        for n in self.names[at:end]:
+            self.count[n] -= 1
+        del self.names[at:end]
+        if self.skipped >= end:
+            self.skipped -= end - at
+        elif self.skipped >= at:
+            self.skipped = -1
+
+    def push(self, name: str) -> None:
+        self.names.append(name)
+        self.count[name] = self.count.get(name, 0) + 1
+
+    def opening(self, name: str) -> None:
+        """End what an opening tag ends."""
+        if self.names and self.names[-1] == "head" and name not in IN_HEAD:
+            self._cut(len(self.names) - 1, len(self.names))
+        if name in ENDS_P:
+            at = self._find(("p",), SCOPE)
+            if at >= 0:
+                self._cut(at, len(self.names))
+        if name in OMITTED:
+            while (at := self._find(*OMITTED[name])) >= 0:
+                self._cut(at, len(self.names))
+
+    def closing(self, name: str) -> bool:
+        """End what an end tag ends, also what is open inside it; whether it is the end tag of the skipped element."""
+        at = self._find((name,), REACH.get(name, SCOPE) if name not in INLINE or name in FORMAT else None)
+        own = 0 <= at == self.skipped
+        if at >= 0:
+            self._cut(at, at + 1 if name in FORMAT else len(self.names))
+        return own
+
+
 def lines_of(page: str) -> list[tuple[str, int]]:
     """The text of each block of a page with its length outside links; ``("", 0)`` where something was left out.
 
@@ -69,7 +140,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     in_link = 0
     body = 0
     body_seen = False
-    skip, depth = "", 0
+    open_ = _Open()
     at = 0
 
     def end_line():
@@ -88,7 +159,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     while True:
         found = _TAG.search(page, at)
         text = page[at : found.start()] if found else page[at:]
-        if text and not skip:
+        if text and open_.skipped < 0:
             parts.append(text)
             if in_link:
                 linked += len(text)
@@ -106,18 +177,21 @@ def lines_of(page: str) -> list[tuple[str, int]]:
             if end < 0:
                 break
             at = page.find(">", end) + 1 or len(page)
-            if name not in INLINE and not skip:
+            if name not in INLINE and open_.skipped < 0:
                 end_line()
             continue
-        if skip:
-            if name == skip:
-                depth += -1 if closing else 0 if attributes.endswith("/") else 1
-                if not depth:
-                    skip = ""
-                continue
+        opens = not closing and name not in EMPTY and not attributes.endswith("/")
+        skip = open_.names[open_.skipped] if open_.skipped >= 0 else ""
+        if not closing:
+            open_.opening(name)
+        elif open_.closing(name):
+            continue
+        if opens:
+            open_.push(name)
+        if open_.skipped >= 0:
             if name not in ("article", "main") or closing or _says_not_content(attributes, False) or skip in ("article", "main"):
                 continue
-            skip, depth = "", 0
+            open_.skipped = -1
         if name in ("article", "main"):
             if closing:
                 end_line()
@@ -128,10 +202,10 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                 gap()
                 body, body_seen = body + 1, True
                 continue
-        if not closing and name not in EMPTY and not attributes.endswith("/"):
+        if opens:
             if name in NOT_CONTENT or name == "header" and not body or _says_not_content(attributes, body > 0) and name not in ("html", "body"):
                 gap()
-                skip, depth = name, 1
+                open_.skipped = len(open_.names) - 1
                 continue
         if name == "a":
             in_link = max(0, in_link + (-1 if closing else 1))
