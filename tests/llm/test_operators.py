@@ -346,6 +346,20 @@ def test_secrets(spark, none):
     assert secrets.scan(none).count() == 0
 
 
+def test_short_secrets(spark):
+    """Values a keyword names are judged by their owners, however short or even they are; others must look random."""
+    rows = [
+        (1, "s1", 'password = "Tr0ub4dor9", secret: hunter22'), (2, "s2", "token=aaaaaa"), (3, "s3", "passwd=changeme"), (4, "s4", "a" * 24), (5, "s5", "api_key: aaaaaaaaaaaa"),
+        (6, "s6", "secret=12345"), (7, None, "password: q1w2e3"), *((10 + i, f"s{i}", "password=letmein") for i in range(4)), *((20 + i, f"s{i % 3}", "password=opens4me") for i in range(9)),
+    ]
+    docs = spark.createDataFrame([(i, s, t, len(t)) for i, s, t in rows], "doc_id long, source string, text string, n_chars long")
+    clean = {r.doc_id: r for r in secrets.redact(docs).collect()}
+    expected = {i: t for i, _, t in rows} | {1: 'password = "[secret]", secret: [secret]', 2: "token=[secret]", 5: "api_key: [secret]", 7: "password: [secret]"} | {20 + i: "password=[secret]" for i in range(9)}
+    assert {i: r.text for i, r in clean.items()} == expected and all(r.n_chars == len(r.text) for r in clean.values())
+    found = {r.doc_id: r.s for r in secrets.scan(docs).select("kept.doc_id", secrets.spelled(F.col("spans")).alias("s")).collect()}
+    assert found[1] == "assign:0:22,live:12:22,assign:25:41,live:33:41" and found[10] == "assign:0:16,example:9:16" and found[3] == "assign:0:15"
+
+
 def test_top_k(spark, none):
     random = np.random.Generator(np.random.PCG64(8))
     vectors = random.normal(size=(400, 6)).astype(float)

@@ -1,8 +1,8 @@
 """Secrets in documents, told apart by corpus-wide ownership frequency.
 
 Patterns give candidates with their places. The hash of each candidate's value is counted by distinct repositories and
-owners over the whole corpus: a value that many owners have is a widely copied example, one that belongs to a few and looks
-random may be a live credential.
+owners over the whole corpus: a value that many owners have is a widely copied example, one that belongs to a few may be a
+live credential, if a keyword names it as one or else if it looks random.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from tidewright.session import materialise
 
 #: From so many owners on, a value is an example that was copied.
 COPIED = 4
-#: Bits a character and length from which a value looks random.
+#: Bits a character and length from which a value without a keyword looks random.
 ENTROPY, LENGTH = 2.8, 12
 
 KINDS = ("assign", "access", "hex", "live", "example")
@@ -43,9 +43,13 @@ def candidates(text: str) -> list[tuple[str, int, int, int, str]]:
     return found
 
 
-def looks_live(value: str) -> bool:
-    """Long, with characters as mixed as random ones, and without the words examples are made of."""
-    if len(value) < LENGTH or _EXAMPLE.search(value):
+def looks_live(value: str, kind: str = "") -> bool:
+    """Without the words examples are made of and, unless it is assigned to a keyword, long and as mixed as random characters."""
+    if _EXAMPLE.search(value):
+        return False
+    if kind == "assign":
+        return True
+    if len(value) < LENGTH:
         return False
     counts = Counter(value).values()
     return -sum(c / len(value) * math.log2(c / len(value)) for c in counts) >= ENTROPY
@@ -55,8 +59,8 @@ def scan(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str =
     """``kept`` columns (a struct) of every row with its counts, base spans and all spans.
 
     ``spans`` is an array of (start, kind number, end) in order; the kinds are those of :data:`KINDS`. A candidate whose
-    value has fewer than ``copied`` owners and looks random adds the span of its value as ``live``; one with more as
-    ``example``. A null or empty text has no span. Without a repository or owner a row counts as one nameless owner.
+    value has fewer than ``copied`` owners and looks live, see :func:`looks_live`, adds the span of its value as ``live``;
+    one with more as ``example``. A null or empty text has no span. Without a repository or owner a row counts as one nameless owner.
     Repeated rows stay; they add no owner.
 
     Only values' hashes are shuffled, each once a task and owner, so a value that a third of all rows hold costs little.
@@ -75,7 +79,7 @@ def scan(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str =
             for column, k in zip(counts, KINDS, strict=False):
                 column.append(sum(f[0] == k for f in found))
             lists.append([
-                {"start": s, "kind": KINDS.index(k), "stop": e, "at": at, "size": len(v), "value": hashlib.sha256(v.encode()).hexdigest(), "live": looks_live(v)}
+                {"start": s, "kind": KINDS.index(k), "stop": e, "at": at, "size": len(v), "value": hashlib.sha256(v.encode()).hexdigest(), "live": looks_live(v, k)}
                 for k, s, e, at, v in sorted(found, key=lambda f: (f[1], KINDS.index(f[0])))
             ])
         yield [*(part.column(c) for c in ("row", "kept", "repository", "owner")), *counts, lists]
