@@ -1,5 +1,6 @@
 """The training-data operators against brute force, on the small tables and on rows made to be awkward."""
 
+import itertools
 import math
 import re
 import zlib
@@ -268,6 +269,37 @@ def test_leaks(spark, none):
     assert decontaminate.find_leaks(none, items).count() == 0 and decontaminate.find_leaks(docs, items.limit(0)).count() == 0
 
 
+def test_masks_miss_nothing():
+    """Every placement of the other words that an item may have holds a mask of its length, counted out; longer rows at random."""
+    lengths = decontaminate.masks_by_length(0.75, 20)
+    assert {n for _, lo, hi in lengths for n in range(lo, min(hi, 99) + 1)} == set(range(5, 100))
+    of = lambda n: [(int(m, 2), len(m)) for m, lo, hi in lengths if lo <= n <= hi]
+    holds = lambda row, n: any(row >> i & m == m for m, k in of(n) for i in range(n - k + 1))
+    for n in range(5, 21):
+        for places in itertools.combinations(range(n), n // 4):
+            assert holds((1 << n) - 1 - sum(1 << i for i in places), n), (n, places)
+    random = np.random.Generator(np.random.PCG64(4))
+    for n in [*range(21, 60), 200]:
+        for _ in range(200):
+            assert holds((1 << n) - 1 - sum(1 << int(i) for i in random.permutation(n)[: n // 4]), n)
+    assert decontaminate.whole_from(("11011011", "110100111", "1100101011"), 0.75, 20) is None
+    assert {n for _, lo, hi in decontaminate.masks_by_length(0.3, 3) for n in range(lo, min(hi, 99) + 1)} == set(range(5, 100))
+
+
+def test_leaks_with_any_words_replaced(spark):
+    """Items of 8, 10, 12, 13 and 15 words with every placement of the most words that may be other ones, and one more."""
+    items, rows, expected = [(0, "a b c d e f g h i j k l m n o p q r s t u v w x y z")], [], set()
+    for n in (8, 10, 12, 13, 15):
+        words = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        for places in itertools.combinations(range(n), n // 4):
+            rows.append((len(rows), " ".join("other" if i in places else w for i, w in enumerate(words))))
+            expected.add((rows[-1][0], n, n - n // 4))
+        rows.append((len(rows), " ".join("other" if i <= n // 4 else w for i, w in enumerate(words))))
+    found = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.matched) for r in found.collect()} == expected
+
+
 def test_leaks_without_broadcast(spark, rows, monkeypatch):
     expected = rows(queries.op4_decontaminate(spark, FOLDER))
     monkeypatch.setattr(decontaminate, "SEEDS", 0)
