@@ -324,6 +324,36 @@ def test_packing(docs, none, spark):
     assert packing.pack(none).count() == 0
 
 
+def test_packing_near_copies(spark):
+    """Two near copies never share a bin, with an id or without, and other rows still do."""
+    random = np.random.Generator(np.random.PCG64(6))
+    texts = []
+    for base in range(6):
+        words = [f"w{base}x{i}" for i in range(60)]
+        for k in range(8):
+            copy = words.copy()
+            if k:
+                copy[int(random.integers(60))] = "other"
+            texts.append(" ".join(copy))
+    rows = [(None if i % 5 == 0 else i, t, f"s{i}") for i, t in enumerate(texts)] + [(None, texts[1], "t"), (100, texts[0], "u"), (101, None, "v"), (None, "", "w"), (102, "", "x")]
+    found = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), room=400, near=True).collect()
+    assert Counter(r.doc_id for r in found) == Counter(i for i, _, _ in rows)
+    part = {i: t.split()[0][:2] if not t.startswith("other") else t.split()[1][:2] for i, t, _ in rows if i is not None and t}
+    bins = {}
+    for r in found:
+        bins.setdefault(r.bin_id, []).append(r)
+    for members in bins.values():
+        clusters = [part[r.doc_id] for r in members if r.doc_id in part]
+        assert len(set(clusters)) == len(clusters) and sum(r.n_words for r in members) <= 400
+        assert sum(r.n_words > 0 for r in members) <= 6
+    assert len(bins) < len(rows)
+    queried = {}
+    for r in queries.op5_pack(spark, FOLDER).collect():
+        queried.setdefault(r.bin_id, set()).add(r.doc_id)
+    component = {r.doc_id: r.component_id for r in queries.op6_jaccard(spark, FOLDER).collect()}
+    assert all(len({component[i] for i in ids}) == len(ids) for ids in queried.values())
+
+
 def test_best_fit_conflicts():
     random = np.random.Generator(np.random.PCG64(5))
     sizes = np.sort(random.integers(0, 30, 400))[::-1]

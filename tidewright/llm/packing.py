@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewright.llm.common import batch, by_group, small_batches
+from tidewright.llm.jaccard import similar_components
 from tidewright.session import materialise
 
 #: Words in a bin, documents of one source in a bin, documents that are packed together on average.
@@ -72,7 +73,9 @@ def best_fit(sizes, sources, clusters, room: int = ROOM, per_source: int = PER_S
     return out
 
 
-def pack(documents: DataFrame, cluster: Column | None = None, room: int = ROOM, per_source: int = PER_SOURCE, key: str = "doc_id", source: str = "source") -> DataFrame:
+def pack(
+    documents: DataFrame, cluster: Column | None = None, room: int = ROOM, per_source: int = PER_SOURCE, key: str = "doc_id", source: str = "source", near: bool = False
+) -> DataFrame:
     """``key``, ``piece``, ``begins``, ``n_words``, ``bin_id`` and ``offset`` of every piece of every row.
 
     A document of more than ``room`` words is cut into pieces of ``room`` words, each a bin of its own, and a rest that is
@@ -86,10 +89,16 @@ def pack(documents: DataFrame, cluster: Column | None = None, room: int = ROOM,
     text = F.col("text")
     words = F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
     cluster = F.xxhash64(text) if cluster is None else cluster
+    if near:
+        cluster = F.coalesce(F.col(f"`{key}`").cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1))
+        copies = similar_components(documents.select(cluster.alias("id"), text), key="id")
+        copies = copies.groupBy(F.col("id").alias("cluster")).agg(F.min("component_id").alias("component"))
     row = F.monotonically_increasing_id()
     name = F.when(F.col(f"`{source}`").isNull(), F.lit(-1)).otherwise(F.shiftrightunsigned(F.xxhash64(F.col(f"`{source}`")), 1))
     alone = F.when(text.isNull() | cluster.isNull() | (words == 0), F.xxhash64(row, F.lit(3))).otherwise(cluster)
     rows = documents.select(row.alias("row"), F.col(f"`{key}`").alias("key"), words.alias("n"), name.alias("source"), alone.alias("cluster"))
+    if near:
+        rows = rows.join(copies, "cluster", "left").select("row", "key", "n", "source", F.coalesce("component", "cluster").alias("cluster"))
     rows = materialise(rows, "sizes")
     sets = max(1, -(-rows.count() // TOGETHER))
     kind = rows.schema["key"].dataType.simpleString()

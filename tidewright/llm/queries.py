@@ -38,8 +38,8 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
-    """Every piece of every document with its bin and its place there."""
-    return packing.pack(table(configure(spark), folder, "documents"))
+    """Every piece of every document with its bin and its place there; near copies are in bins of their own."""
+    return packing.pack(table(configure(spark), folder, "documents"), near=True)
 
 
 def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
