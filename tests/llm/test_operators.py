@@ -235,6 +235,23 @@ def test_language_model(spark, docs, none):
     assert all(abs(r.score) < 1e-9 and abs(r.base_score) < 1e-9 for r in hmm.language_model(docs, F.lit(False)).collect())
 
 
+def test_every_round_reads_all_rows(docs, monkeypatch):
+    """Each round sums over every training row, so the model does not depend on how the input is split."""
+    seen, expectations = [], hmm.expectations
+    def spy(encoded, model):
+        found = expectations(encoded, model)
+        seen.append(found.where("symbol = -2").first().w1)
+        return found
+    monkeypatch.setattr(hmm, "expectations", spy)
+    scores = []
+    for split in (docs.coalesce(1), docs.repartition(7, "n_chars")):
+        found = hmm.language_model(split, fold_of(F.col("doc_id")) != 1, head=12, warm=2, rounds=1)
+        scores.append(sorted((r.n_tokens, r.base_score, r.score) for r in found.collect()))
+    learned = [t for i, t, *_ in ROWS if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
+    assert seen == [sum(len(tokens(t)) + 1 for t in learned)] * 6
+    assert np.allclose(scores[0], scores[1], rtol=1e-4)
+
+
 def test_forward_is_exact():
     """The scaled recursion against the sum over all paths, and the model as a distribution."""
     random = np.random.Generator(np.random.PCG64(2))

@@ -216,12 +216,11 @@ def maximise(found: DataFrame, words: Words, model: Model, weight: float = 64.0)
     return Model(start / start.sum(), usual / usual.sum(), move / move.sum(1, keepdims=True), emit), log / max(tokens, 1)
 
 
-def fit(encoded: DataFrame, words: Words, states: int = STATES, warm: int = 5, part: int = 16, rounds: int = 2) -> Model:
-    """Baum-Welch: ``warm`` rounds on one of ``part`` rows to part the states, then ``rounds`` over all training rows."""
+def fit(encoded: DataFrame, words: Words, states: int = STATES, warm: int = 5, rounds: int = 2) -> Model:
+    """Baum-Welch: ``warm`` rounds to part the states and ``rounds`` more, each over all training rows."""
     model = first_model(words, states)
-    some = encoded.where(F.pmod(F.xxhash64("row"), F.lit(part)) == 0)
-    for rows in [some] * warm + [encoded] * rounds:
-        model, _ = maximise(expectations(rows, model), words, model)
+    for _ in range(warm + rounds):
+        model, _ = maximise(expectations(encoded, model), words, model)
     return model
 
 
