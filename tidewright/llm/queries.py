@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewright.llm import decontaminate, extract, hmm, jaccard, langid, licenses, mtree, packing, secrets, sharding
+from tidewright.llm import decontaminate, extract, hmm, jaccard, langid, licenses, mtree, openpacking, packing, resampling, secrets, sharding, whitening
 from tidewright.llm.common import fold_of, table
 from tidewright.session import configure
 
@@ -72,9 +73,30 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(configure(spark), folder, "documents"))
 
 
+def op11_whiten(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight whitened components of every embedding; a deviation beyond 64 bits is null."""
+    found = whitening.whiten(table(configure(spark), folder, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
+def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
+    """The tenth of the documents that is most like the benchmark, drawn with noise."""
+    spark = configure(spark)
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_open_pack(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document with its sequence and its place there."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return openpacking.pack(table(configure(spark), folder, "documents"), vocabulary).drop("ids")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language, op2_extract, op3_language_model, op4_decontaminate, op5_pack, op6_jaccard, op7_shard, op8_secrets, op9_top_k, op10_licenses)
+    for f in (
+        op1_language, op2_extract, op3_language_model, op4_decontaminate, op5_pack, op6_jaccard, op7_shard, op8_secrets, op9_top_k, op10_licenses,
+        op11_whiten, op12_resample, op13_open_pack,
+    )
 }
 
 ORACLES = {
@@ -107,5 +129,36 @@ with v as (
     from v q join v d on q.vec_id <> d.vec_id where q.vec_id % 50 = 0
 ), ranked as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5
+""",
+    "op12_resample": r"""
+with codes as (
+    select list(list_reduce(list_prepend(n, range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by n) as step
+    from range(256) as r(n)
+), words as (
+    select 'd' as side, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as w
+    from documents
+    union all
+    select 'b', null, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))
+    from benchmark
+), vocabulary as (
+    select w, count(*) filter (side = 'd') as s, count(*) filter (side = 'b') as t, hex(encode(w)) as x from words group by w
+), hashed as (
+    select w, s, t, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i: cast('0x' || x[i:i + 1] as bigint))),
+        lambda c, b: xor(c >> 8, codes.step[1 + (xor(c, b) & 255)])), 4294967295) % 10000 as b
+    from vocabulary, codes
+), counts as (select b, sum(s) as s, sum(t) as t from hashed group by b),
+totals as (select sum(s) as ss, sum(t) as tt from counts),
+gains as (
+    select b, cast(floor(1000 * ln(cast((t + 1) * (ss + 10000) as double) / cast((s + 1) * (tt + 10000) as double))) as bigint) as g from counts, totals
+), weighed as (
+    select d.doc_id, count(g) as n_features, cast(coalesce(sum(g), 0) as bigint) as weight
+    from documents d left join (select doc_id, g from words join hashed using (w) join gains using (b) where side = 'd') using (doc_id)
+    group by d.doc_id
+), scored as (
+    select *, weight + cast(floor(-1000 * ln(-ln((cast('0x' || sha256('2024:' || doc_id)[1:8] as bigint) + 0.5) / 4294967296))) as bigint) as score from weighed
+), ranked as (
+    select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as r, count(*) filter (n_features >= 20) over () as n from scored
+)
+select doc_id, n_features, weight, score, case when n_features >= 20 and r <= 10 * n // 100 then r end as rank from ranked
 """,
 }
