@@ -7,13 +7,17 @@ empty. What is left open at the end is merged: the windows of all partitions are
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidewright.llm.common import batch, map_batches, small_batches
@@ -22,27 +26,43 @@ from tidewright.session import materialise
 #: Tokens of a sequence, id after a document, open windows of a partition.
 ROOM, END, OPEN = 4096, 2, 64
 #: Stretches of text between blanks whose ids a worker remembers; then it forgets all.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 #: Sequences of merged windows are numbered from here.
 MERGED = 1 << 62
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(vocabulary: str):
-    from tokenizers import Tokenizer
+#: A point or comma at the end of a word; it is a token of its own whatever stands before it.
+_STOP = "([a-z0-9\u00df-\u00f6\u00f8-\u00ff])([.,;:!?])([ \n])"
+#: Marks that combine with the letter before them: not every capital has a composed form where its small letter has one.
+#: The strings of special tokens are told apart by case.
+_ASIDE = "[\u0300-\u036f]|<\\|"
+#: Words that normalisation and splitting leave as they are.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+
 
-    return Tokenizer.from_str(vocabulary)
+@lru_cache(maxsize=2)
+def _encoder(vocabulary: str, whole: bool) -> Encoder:
+    """One encoder of a worker, which goes on with what it remembers from task to task."""
+    return Encoder(vocabulary, whole)
 
 
 class Encoder:
     """Token ids of whole texts.
 
-    A tokenizer that drops blanks gives a text the ids of its stretches between blanks, one after the other, so each stretch
-    is encoded once and looked up from then on. ``whole`` encodes texts as they are, for tokenizers with other rules.
+    The tokenizer lowers capitals, drops blanks and never joins a word with a point after it, so a text has the ids of its
+    stretches between blanks, one after the other. Each stretch is encoded once and looked up from then on. ``whole``
+    encodes texts as they are, for tokenizers with other rules.
     """
 
     def __init__(self, vocabulary: str, whole: bool = False):
-        self.tokenizer, self.whole = _tokenizer(vocabulary), whole
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker for each core
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.whole = Tokenizer.from_str(vocabulary), whole
+        if not whole:
+            self.words = Tokenizer.from_str(vocabulary)
+            self.words.normalizer = normalizers.Sequence([])
+            self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.forget()
 
     def forget(self) -> None:
@@ -51,36 +71,59 @@ class Encoder:
         self.begin = np.zeros(1 << 16, np.int64)
         self.used = 0
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, stretches: list[str]) -> None:
-        found = self.encode(stretches)
+        plain = [bool(_PLAIN(s)) for s in stretches]
+        stretches = [*compress(stretches, plain), *(s for s, p in zip(stretches, plain, strict=True) if not p)]
+        found = self._ids(self.words, stretches[: sum(plain)]) + self._ids(self.tokenizer, stretches[sum(plain) :])
         known = len(self.place)
         ends = self.used + np.cumsum([len(ids) for ids in found])
         if ends[-1] > len(self.flat):
             self.flat = np.resize(self.flat, 2 * ends[-1])
         if known + len(found) + 1 > len(self.begin):
             self.begin = np.resize(self.begin, 2 * (known + len(found) + 1))
-        self.flat[self.used : ends[-1]] = [i for ids in found for i in ids]
+        self.flat[self.used : ends[-1]] = list(chain.from_iterable(found))
         self.begin[known + 1 : known + 1 + len(found)] = ends
         self.used = int(ends[-1])
         self.place.update(zip(stretches, range(known, known + len(found)), strict=True))
 
-    def __call__(self, text: str) -> np.ndarray:
-        if self.whole:
-            return np.array(self.encode([text])[0], np.uint32)
-        parts = text.replace("\n", " ").split(" ")
-        new = list(set(parts).difference(self.place))
-        if len(self.place) + len(new) > REMEMBERED and self.place:
-            self.forget()
-            new = list(set(parts))
-        if new:
+    @staticmethod
+    def stretches(texts: pa.Array) -> pa.ListArray:
+        """The stretches of each text, with A to Z lowered and points set apart where that changes no token."""
+        lowered = pc.replace_substring_regex(pc.ascii_lower(texts), _STOP, r"\1 \2\3")
+        aside = pc.match_substring_regex(texts, _ASIDE)
+        texts = pc.if_else(aside, texts, lowered) if pc.any(aside).as_py() else lowered
+        return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        texts = pc.fill_null(texts, "")
+        if self.whole or not len(texts):
+            for text in texts.to_pylist():
+                yield np.array(self._ids(self.tokenizer, [text])[0], np.uint32)
+            return
+        parts = self.stretches(texts)
+        ends = np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+        coded = parts.flatten().dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        found = list(map(self.place.get, different))
+        if None in found:
+            new = [p for p, at in zip(different, found, strict=True) if at is None]
+            if len(self.place) + len(new) > REMEMBERED and self.place:
+                self.forget()
+                new = different
             self.learn(new)
-        at = np.fromiter(map(self.place.__getitem__, parts), np.int64, len(parts))
-        begin, size = self.begin[at], self.begin[at + 1] - self.begin[at]
-        ends = np.cumsum(size)
-        return self.flat[np.repeat(begin - ends + size, size) + np.arange(ends[-1])]
+            found = list(map(self.place.__getitem__, different))
+        at = np.array(found, np.int64)[coded.indices.to_numpy()]
+        first, sizes = self.begin[at], self.begin[at + 1] - self.begin[at]
+        cut = np.cumsum(sizes)
+        ids = self.flat[np.repeat(first - cut + sizes, sizes) + np.arange(cut[-1])]
+        edges = cut[ends - 1].tolist()
+        for a, b in zip([0, *edges[:-1]], edges, strict=True):
+            yield ids[a:b]
 
 
 def checksum(ids: np.ndarray) -> int:
@@ -155,7 +198,7 @@ def pack(documents: DataFrame, vocabulary: str, room: int = ROOM, open_windows:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder, windows, last = Encoder(shared.value, whole), OpenWindows(room, open_windows), np.array([end], np.uint32)
+        encoder, windows, last = _encoder(shared.value, whole), OpenWindows(room, open_windows), np.array([end], np.uint32)
 
         def columns(pieces, merged):
             docs, starts, ids, tokens, sequences, offsets = zip(*pieces, strict=True)
@@ -168,8 +211,8 @@ def pack(documents: DataFrame, vocabulary: str, room: int = ROOM, open_windows:
         schema_key = batch(schema, [pa.nulls(0)] + [[]] * 9).schema.field(0).type
         for rows in parts:
             full = []
-            for doc, one in zip(rows.column(0).to_pylist(), rows.column(1), strict=True):
-                full += windows.add(doc, np.concatenate([encoder(one.as_py() or ""), last]))
+            for doc, ids in zip(rows.column(0).to_pylist(), encoder(rows.column(1)), strict=True):
+                full += windows.add(doc, np.concatenate([ids, last]))
                 if len(full) >= 1 << 14:
                     yield columns(full, False)
                     full = []
