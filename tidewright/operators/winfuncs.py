@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidewright.operators.folding import process_groups
 from tidewright.operators.ordered import Ordered, rows
 
 
@@ -15,11 +16,12 @@ def average(column: Column) -> Column:
     return F.sum(column).cast("double") / F.count(column)
 
 
-def window_elements(df: DataFrame, time: str, size: str, order, element: Column, keys=(), chunk_rows: int = 10_000, **cut) -> DataFrame:
+def window_elements(df: DataFrame, time: str, size: str, order, element: Column, keys=(), *, chunk_rows: int, **cut) -> DataFrame:
     """All elements of each keyed time window with its count, start and end.
 
     The list comes in chunks of ``chunk_rows`` elements in order, numbered from 0, because a window
-    can hold more than a task can. A window of up to ``chunk_rows`` rows has one chunk: its list.
+    can hold more than a task can. A function that only needs to see the elements pass by is better served by
+    :func:`process_time_windows`.
     """
     keys = list(keys)
     names = [order] if isinstance(order, str) else list(order)
@@ -31,9 +33,42 @@ def window_elements(df: DataFrame, time: str, size: str, order, element: Column,
     return numbered.groupBy(*by, chunk, "n").agg(F.transform(listed, lambda e: e["__e"]).alias("elements"))
 
 
-def bounded_elements(element: Column, order: str) -> Column:
-    """The ordered elements of a window known to hold few rows, such as a count window."""
-    return F.transform(F.sort_array(F.collect_list(F.struct(F.col(order), element.alias("__e")))), lambda e: e["__e"])
+def process_time_windows(df: DataFrame, time: str, size: str, order, keys, function: Callable, schema: str) -> DataFrame:
+    """A process function over whole keyed time windows: ``function(key, window, batches)`` yields rows of ``schema``.
+
+    ``key`` are the values of ``keys``, ``window`` the start and the end, ``batches`` the elements in ``order`` as Arrow
+    batches, read as they are asked for; a window may hold more than a task can. The result has keys, ``window_start``,
+    ``window_end`` and the columns of ``schema``. Rows with a null time are in no window.
+    """
+    keys = list(keys)
+    window = F.window(time, size)
+    placed = df.withColumns({"window_start": window["start"], "window_end": window["end"]}).where(F.col("window_start").isNotNull())
+    lead = [*keys, "window_start", "window_end"]
+
+    def process(key: tuple, batches):
+        for row in function(key[:-2], key[-2:], batches):
+            yield (*key, *row)
+
+    return process_groups(placed, lead, order, process, f"{_ddl(placed, lead)}, {schema}")
+
+
+def process_count_windows(df: DataFrame, size: int, order, keys, function: Callable, schema: str, **cut) -> DataFrame:
+    """The same over windows of ``size`` rows of a key; ``window`` is their number, ``win``. One that is not full never fires."""
+    keys = list(keys)
+    numbered = Ordered(df, order, keys, **cut).running(__rn=rows()).whole(__n=rows()).rows()
+    win = F.floor((F.col("__rn") - 1) / size).cast("long")
+    full = numbered.withColumn("win", win).where((F.col("win") + 1) * size <= F.col("__n")).drop("__n")
+    lead = [*keys, "win"]
+
+    def process(key: tuple, batches):
+        for row in function(key[:-1], key[-1], batches):
+            yield (*key, *row)
+
+    return process_groups(full, lead, "__rn", process, f"{_ddl(full, lead)}, {schema}")
+
+
+def _ddl(df: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
 
 
 def aggregate_function(
@@ -110,3 +145,28 @@ def reduce_function(df: DataFrame, keys: list[str], value: str, function: Callab
     return aggregate_function(
         df, keys, value, tuple, add, lambda a, b: (function(a[0], b[0]),), f"{value} {kind}"
     )
+
+
+def reduce_series(df: DataFrame, keys: list[str], value: str, function: Callable, kind: str) -> DataFrame:
+    """Fold the values of a key with an associative and commutative function of Series.
+
+    ``function`` takes two Series of the same length and combines them element by element. The values of a key in a batch
+    are folded by halves, so it is called once for each doubling and not for each value.
+    """
+
+    def add(acc: tuple, values: pd.Series) -> tuple:
+        left = values.reset_index(drop=True)
+        while len(left) > 1:
+            half = len(left) // 2
+            both = pd.Series(function(left[:half], left[half : 2 * half].reset_index(drop=True)))
+            left = pd.concat([both, left[2 * half :]], ignore_index=True)
+        folded = left.tolist()[0]
+        return (folded,) if not acc else (_single(function, acc[0], folded),)
+
+    return aggregate_function(
+        df, keys, value, tuple, add, lambda a, b: (_single(function, a[0], b[0]),), f"{value} {kind}"
+    )
+
+
+def _single(function: Callable, a, b):
+    return pd.Series(function(pd.Series([a]), pd.Series([b]))).tolist()[0]

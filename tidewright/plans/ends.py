@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewright.functions import seeded
+from tidewright.operators import heavy
 from tidewright.operators.rolling import union_all
 from tidewright.plans.registry import query
 from tidewright.session import new_dir
-from tidewright.sinks import console, custom, files, keyed
+from tidewright.sinks import console, custom, files, keyed, transactional
 from tidewright.sources import bounded, generators
-from tidewright.sources.streams import table_stream
-from tidewright.streaming.tables import finish
+from tidewright.sources.streams import arriving, table_stream
+from tidewright.streaming import watermark
+from tidewright.streaming.tables import drain, finish
 
 TYPES = [("view", 1), ("click", 2), ("purchase", 3), ("signup", 4), ("error", 5)]
 TYPE_SQL = f"(values {', '.join(str(p) for p in TYPES)}) as types(event_type, code)"
@@ -133,10 +135,14 @@ def sink_output_format(t):
 
 @query("sink_custom", "select event_type || ',' || event_id as line, true as numbered from events")
 def sink_custom(t):
-    """The lines the writer emits; the number of the task in front of them differs from run to run."""
-    lines = t.events.select(custom.prefixed("event_type", "event_id").alias("line"))
+    """Lines through a writer of the user, with the number of the task in front, in four batches; read back from what was committed."""
+    base = new_dir(t.spark, "custom")
+    end = t.events.agg(F.max("event_id")).first()[0] + 1
+    stream = arriving(t.events.select("event_type", "event_id"), F.floor(F.col("event_id") * 4 / end), 4)
+    finish(transactional.stream_lines(stream, f"{base}/rows", f"{base}/checkpoint").trigger(availableNow=True).start())
+    lines = transactional.read_lines(t.spark, f"{base}/rows")
     number = "^[0-9]+> "
-    return lines.select(F.regexp_replace("line", number, "").alias("line"), F.col("line").rlike(number).alias("numbered"))
+    return lines.select(F.regexp_replace("value", number, "").alias("line"), F.col("value").rlike(number).alias("numbered"))
 
 
 @query("sink_jdbc_upsert", """select o_custkey as word, max(o_orderkey) as seq,
@@ -186,3 +192,25 @@ def x_score_subject_join(t):
 @query("x_distinct", "select distinct l_returnflag, l_linestatus, l_linenumber from lineitem")
 def x_distinct(t):
     return t.lineitem.select("l_returnflag", "l_linestatus", "l_linenumber").distinct()
+
+
+@query("x_distinct_stream", "select event_id, event_type, ts from events")
+def x_distinct_stream(t):
+    """Events in the order of their time in six batches; every third comes again with the batch after its own."""
+    events = t.events.select("event_id", "event_type", "ts")
+    low, high = events.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    batch = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - low) * 6 / (high - low + 1))
+    twice = events.withColumn("b", batch).unionByName(events.where("event_id % 3 = 0").withColumn("b", batch + 1))
+    stream = arriving(twice, F.col("b"), 7).drop("b")
+    out = watermark.distinct_within(stream, "ts", "6 days", ["event_id"])
+    return drain(out.withColumn("ts", F.col("ts").cast("timestamp_ntz")), "distinct")
+
+
+@query("x_skewed_join", """select l_orderkey, l_linenumber, k, p_name from
+  (select l_orderkey, l_linenumber, case when l_linenumber <= 2 then 1 else l_partkey end as k from lineitem)
+  join (select p_partkey as k, p_name from part) using (k)""")
+def x_skewed_join(t):
+    """A key with a third of the lines meets its part by broadcast, all others by a shuffle."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") <= 2, 1).otherwise(F.col("l_partkey")).cast("long").alias("k"))
+    parts = t.part.select(F.col("p_partkey").cast("long").alias("k"), "p_name")
+    return heavy.join_frequent(lines, parts, "k").select("l_orderkey", "l_linenumber", "k", "p_name")

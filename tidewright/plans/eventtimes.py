@@ -8,8 +8,8 @@ from tidewright.operators import eventtime
 from tidewright.plans.registry import query
 from tidewright.session import new_dir
 from tidewright.sinks.files import as_text
-from tidewright.sources.streams import table_stream, text_stream
-from tidewright.streaming import watermark
+from tidewright.sources.streams import arriving, table_stream, text_stream
+from tidewright.streaming import timers, watermark
 from tidewright.streaming.tables import drain
 
 HOUR_MS = 3_600_000
@@ -146,6 +146,39 @@ def late_side_output(t):
     return late.select("k", "event_id", "t", "window_end")
 
 
+BATCHES = 6
+BATCH = f"s * {BATCHES} // (max(s) over () + 1)"
+FIRED = f"""with a as (select *, {END} as we, {BATCH} as b from {ARRIVALS}),
+  w as (select b, max(max(t)) over (order by b rows between unbounded preceding and 1 preceding) - {HOUR_MS} as wm from a group by b),
+  m as (select a.*, case when wm >= we + {HALF_HOUR_MS} then 'late' when wm >= we then 'refire' else 'first' end as tag
+    from a join w using (b)),
+  acc as (select k, we, b, tag, max(event_id) as seq, sum(count(*)) over (partition by k, we order by b rows unbounded preceding) as n
+    from m where tag <> 'late' group by k, we, b, tag)"""
+
+
+def firings(t):
+    """The windows of a stream in six batches of arrival."""
+    arrivals = t.arrivals()
+    end = arrivals.agg(F.max("s")).first()[0] + 1
+    stream = arriving(arrivals.select("k", "s", "event_id", "t"), F.floor(F.col("s") * BATCHES / end), BATCHES)
+    return timers.firing_windows(stream, "k", "t", "event_id", HOUR_MS, HOUR_MS, HALF_HOUR_MS)
+
+
+@query("late_allowed_stream", f"""{FIRED}
+  select k as key, we as window_end, 'first' as tag, null::bigint as seq, max(n)::bigint as n from acc
+    where tag = 'first' and we <= (select max(t) - {HOUR_MS} from a) group by k, we
+  union all select k, we, tag, seq, n::bigint from acc where tag = 'refire'
+  union all select k, we, tag, event_id, null from m where tag = 'late'""")
+def late_allowed_stream(t):
+    return drain(firings(t), "firings")
+
+
+@query("late_side_output_stream", f"{FIRED} select k as key, event_id as seq, we as window_end from m where tag = 'late'")
+def late_side_output_stream(t):
+    """The late rows of the stream, from the folder of their tag."""
+    return drain(firings(t), "late", by=("tag",)).where("tag = 'late'").select("key", "seq", "window_end")
+
+
 @query("src_kafka", """with w as (select event_type as word, time_bucket(interval 1 hour, ts) as b from events)
   select word || ',' || count(*) as line, b as window_start from w group by word, b
   having b + interval 1 hour <= (select make_timestamp(max(epoch_us(ts)) // 1000 * 1000) from events) - interval 2 second""")

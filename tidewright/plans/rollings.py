@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from tidewright.operators import rolling
+from tidewright.operators import folding, rolling
 from tidewright.plans.registry import query, units
 
 EVENTS = "(select event_id, ts, user_id, event_type, cast(value as decimal(18,2)) as value from events)"
@@ -66,9 +67,25 @@ def rolling_maxby(t):
     return out.drop("o_totalprice")
 
 
-@query("rolling_reduce", """select event_id, user_id, count(*) over (partition by user_id order by event_id
-  rows unbounded preceding) as views from events""")
+def then(first: pd.DataFrame, second: pd.DataFrame) -> pd.DataFrame:
+    """Two counts added, and two maps ``x -> factor * x + shift`` one after the other; the order matters."""
+    return pd.DataFrame({
+        "one": first["one"] + second["one"],
+        "m": first["m"] * second["m"],
+        "c": first["c"] * second["m"] + second["c"],
+    })
+
+
+VISITS = "(partition by user_id order by event_id rows unbounded preceding)"
+
+
+@query("rolling_reduce", f"""with a as (select event_id, user_id, event_id % 97 as c, count(*) over {VISITS} as views,
+    case when count(*) filter (where event_id % 3 = 0) over {VISITS} % 2 = 0 then 1 else -1 end as f from events)
+  select event_id, user_id, views, cast(f as bigint) as factor, cast(f * sum(c * f) over {VISITS} as bigint) as shift from a""")
 def rolling_reduce(t):
-    """Page views per visitor, after each view."""
-    ones = t.events.select("event_id", "user_id", F.lit(1).cast("long").alias("one"))
-    return rolling.running_sum(ones, ["user_id"], "one", "event_id", "views").drop("one")
+    """Page views per visitor after each view, and the maps of all views so far as one: a function of the user, folded in order."""
+    n = F.col("event_id")
+    one, m = F.lit(1).cast("long").alias("one"), F.when(n % 3 == 0, -1).otherwise(1).cast("long").alias("m")
+    maps = t.events.select("event_id", "user_id", one, m, (n % 97).alias("c"))
+    out = folding.running_fold(maps, "user_id", {"one": "views", "m": "factor", "c": "shift"}, "event_id", then)
+    return out.drop("one", "m", "c")

@@ -4,36 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewright.functions.text import line
 from tidewright.operators import lookup, shaping, state as expiry
 from tidewright.plans.registry import hundredths, query, units
 from tidewright.plans.rollings import EVENTS, OVER
+from tidewright.plans.wordcounts import LINES
 from tidewright.session import new_dir
 from tidewright.sinks.keyed import upsert_into
-from tidewright.sources.bounded import value_of
-from tidewright.sources.generators import offset_counter
-from tidewright.sources.streams import table_stream
+from tidewright.sources.streams import arriving, table_stream
+from tidewright.sources.tailing import line_tail
 from tidewright.streaming import metrics, rules, state
+from tidewright.streaming.buckets import BucketedTable
 from tidewright.streaming.changelog import running_sum_body
-from tidewright.streaming.tables import BatchOutput, VersionedTable, finish, run_batches
+from tidewright.streaming.tables import BatchOutput, drain, run_batches
 
 
-def event_values(t):
-    return table_stream(t.spark, t.path("events")).select("event_id", "event_type", hundredths("value").alias("value"))
+#: Batches in which the events of a stream arrive, by their number.
+BATCHES = 4
 
 
-def running_sums(t, label: str, sums: VersionedTable):
+def arriving_events(t, *columns, batches: int = BATCHES):
+    """Events in ``batches`` batches, in the order of their numbers."""
+    end = t.events.agg(F.max("event_id")).first()[0] + 1
+    events = t.events.select("event_id", *columns)
+    return arriving(events, F.floor(F.col("event_id") * batches / end), batches)
+
+
+def running_sums(t, label: str, sums: BucketedTable):
     base = new_dir(t.spark, label)
     output = BatchOutput(t.spark, f"{base}/rows")
     body = running_sum_body(sums, output, "event_type", "value", "event_id")
-    run_batches(event_values(t), body, f"{base}/checkpoint")
+    run_batches(arriving_events(t, "event_type", hundredths("value").alias("value")), body, f"{base}/checkpoint")
     rows = output.read("event_type string, event_id bigint, value bigint, running bigint")
     return rows.select("event_id", "event_type", units(F.col("running")).alias("running"))
 
 
+def sums_table(t, label: str) -> BucketedTable:
+    return BucketedTable(t.spark, new_dir(t.spark, label), "event_type")
+
+
 @query("state_value_sum", f"select event_id, event_type, cast(sum(value) {OVER} as double) as running from {EVENTS}")
 def state_value_sum(t):
     """The running sum per key, a row out for every row in."""
-    return running_sums(t, "value-sum", VersionedTable(t.spark, new_dir(t.spark, "sums")))
+    return running_sums(t, "value-sum", sums_table(t, "sums"))
 
 
 @query("state_value_ttl", """with a as (select *, lag(ts) over w as prev from events window w as (partition by user_id order by ts, event_id)),
@@ -45,38 +58,44 @@ def state_value_ttl(t):
     return expiry.expiring_counts(events, "user_id", "ts", 12 * 3600, "event_id").drop("ts")
 
 
-@query("state_operator_list", "select unnest(range(1, (select count(*) from orders)::bigint + 1)) as n")
-def state_operator_list(t):
-    return recovered_counter(t)
+@query("src_offset_recoverable", LINES)
+def src_offset_recoverable(t):
+    """The lines of files that come in two parts; the second run fails half-way and goes on from its byte offsets."""
+    return tailed_lines(t)[0]
 
 
-@query("src_offset_recoverable", "select unnest(range(1, (select count(*) from orders)::bigint + 1)) as n")
-def src_offset_recoverable(t):
-    return recovered_counter(t)
+@query("state_operator_list", "select cast(sum(strlen(text) + 1) as bigint) as bytes from documents")
+def state_operator_list(t):
+    """The offsets that the same source has kept, one for each file: together the bytes of all lines."""
+    _, checkpoint = tailed_lines(t)
+    offsets = state.source_offsets(t.spark, checkpoint)
+    return t.spark.createDataFrame([(sum(offsets.values()),)], "bytes bigint")
 
 
-def recovered_counter(t):
-    """A counter up to the number of orders; it fails in the middle and goes on from its offset."""
-    last = value_of(t.orders, F.count(F.lit(1)))
-    base = new_dir(t.spark, "counter")
+def tailed_lines(t):
+    base = new_dir(t.spark, "lines")
+    folder, checkpoint = f"{base}/watched", f"{base}/checkpoint"
+    lines = t.documents.where("text is not null").select("text", (F.xxhash64("doc_id") % 2 == 0).alias("early"))
 
     def run(stream):
-        writer = stream.writeStream.format("parquet").option("path", f"{base}/rows")
-        running = writer.option("checkpointLocation", f"{base}/checkpoint").start()
+        writer = stream.select("value").writeStream.format("parquet").option("path", f"{base}/rows")
+        running = writer.option("checkpointLocation", checkpoint).start()
         try:
             running.processAllAvailable()
         finally:
             running.stop()
 
-    from pyspark.errors import StreamingQueryException
+    def arrive(rows):
+        rows.select("text").write.mode("append").option("lineSep", "\n").text(folder)
 
-    step, tasks = max(last // 4, 1), t.spark.sparkContext.defaultParallelism
-    try:
-        run(state.guarded(offset_counter(t.spark, last, step, tasks), F.col("n") == last // 2 + 1))
-    except StreamingQueryException:
-        pass
-    run(offset_counter(t.spark, last, step, tasks))
-    return t.spark.read.schema("n bigint").parquet(f"{base}/rows")
+    tail = lambda: line_tail(t.spark, folder)
+    arrive(lines.where("early"))
+    run(tail())
+    arrive(lines.where("not early"))
+    state.until_failure(lambda: run(state.guarded(tail(), (F.col("place") > 0) & F.col("file").isNotNull())))
+    run(tail())
+    rows = t.spark.read.schema("value string").parquet(f"{base}/rows")
+    return rows.select(line(F.col("value")).alias("value")), checkpoint
 
 
 RULES = """(select n_nationkey as id, n_name || '#' || d as rule, timestamp '2024-01-01' + interval 1 day * d as since
@@ -105,6 +124,18 @@ def state_broadcast_enrich(t):
     return lookup.enrich_as_of(events, versions, "id", "ts", 86_400).select("event_id", "rule")
 
 
+@query("state_broadcast_enrich_stream", f"""select e.event_id, rule from events e join {RULES} r
+  on r.id = e.user_id % 25 and e.ts >= since and e.ts < since + interval 1 day""")
+def state_broadcast_enrich_stream(t):
+    """The rules as a second stream: both come in day order in six batches, and a set is in force for a day."""
+    events = t.events.select("event_id", "ts", (F.col("user_id") % 25).cast("int").alias("id"))
+    sets = rule_sets(t)
+    day = lambda time: F.datediff(time, F.lit("2024-01-01").cast("date"))
+    last = max(events.agg(F.max(day("ts"))).first()[0], sets.agg(F.max(day("since"))).first()[0]) + 1
+    streams = [arriving(df, F.floor(F.greatest(day(c), F.lit(0)) * 6 / last), 6) for df, c in ((events, "ts"), (sets, "since"))]
+    return drain(rules.enrich_in_force(*streams, "id", "ts", "since", "1 day", "1 day").select("event_id", "rule"), "in-force")
+
+
 @query("udf_broadcast_process", f"""select event_id, rule from events join {RULES} r on r.id = user_id % 25
   where since = (select max(since) from {RULES})""")
 def udf_broadcast_process(t):
@@ -118,9 +149,13 @@ def udf_broadcast_process(t):
 
 @query("state_queryable_value", "select event_type, sum(round(value * 100)::bigint)::bigint as total from events group by event_type")
 def state_queryable_value(t):
-    """Sums kept by a stream, then read from its state store."""
-    sums = table_stream(t.spark, t.path("events")).groupBy("event_type").agg(F.sum(hundredths("value")).alias("total"))
-    return state.kept_in_state(sums, new_dir(t.spark, "queryable")).withColumnRenamed("sum", "total")
+    """Sums kept by a stream in four batches; a lookup table follows the changes of its state."""
+    base = new_dir(t.spark, "queryable")
+    stream = arriving_events(t, "event_type", hundredths("value").alias("value"))
+    state.kept_in_state(stream.groupBy("event_type").agg(F.sum("value").alias("total")), f"{base}/checkpoint")
+    table = BucketedTable(t.spark, f"{base}/table", "event_type")
+    state.follow(table, f"{base}/checkpoint", {"event_type": F.col("key.event_type"), "total": F.col("value.sum")})
+    return table.latest("event_type string, total bigint")
 
 
 @query("state_queryable_stream", """select event_type, max(time_bucket(interval 1 hour, ts)) as window_start,
@@ -128,7 +163,7 @@ def state_queryable_value(t):
     from (select *, time_bucket(interval 1 hour, ts) as b from events) group by event_type, b) group by event_type""")
 def state_queryable_stream(t):
     """Each window's maximum replaces that of the window before, per key, in a table for lookup."""
-    stream = table_stream(t.spark, t.path("events")).select("event_type", "ts", "value")
+    stream = arriving_events(t, "event_type", "ts", "value")
     stream = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
     high = stream.groupBy("event_type", F.window("ts", "1 hour")).agg(F.max("value").alias("high"))
     high = high.select("event_type", F.col("window.start").cast("timestamp_ntz").alias("window_start"), "high")
@@ -137,7 +172,7 @@ def state_queryable_stream(t):
 
 def upserted(t, stream, keys, order, label, mode="append"):
     base = new_dir(t.spark, label)
-    table = VersionedTable(t.spark, f"{base}/rows")
+    table = BucketedTable(t.spark, f"{base}/rows", keys, order)
     run_batches(stream, upsert_into(table, keys, order), f"{base}/checkpoint", mode)
     return table.latest(stream.schema)
 
@@ -148,7 +183,7 @@ LAST = "select event_type, max(event_id) as event_id, arg_max(value, event_id) a
 @query("sink_kv_hash_upsert", LAST)
 def sink_kv_hash_upsert(t):
     """The last value per key, kept up by a stream."""
-    stream = table_stream(t.spark, t.path("events")).select("event_type", "event_id", "value")
+    stream = arriving_events(t, "event_type", "value").select("event_type", "event_id", "value")
     return upserted(t, stream, ["event_type"], "event_id", "hash")
 
 
@@ -180,9 +215,9 @@ def checkpoint_resume(t):
   + sum(value) {OVER} as double) as running from {EVENTS}""")
 def savepoint_resume(t):
     """A second job starts from the sums of the first, with another number of shuffle partitions."""
-    first = VersionedTable(t.spark, new_dir(t.spark, "savepoint"))
+    first = sums_table(t, "savepoint")
     running_sums(t, "before-savepoint", first)
-    second = VersionedTable(t.spark, new_dir(t.spark, "savepoint"))
+    second = sums_table(t, "savepoint")
     second.start_from(first, "event_type string, s bigint")
     partitions = t.spark.conf.get("spark.sql.shuffle.partitions")
     t.spark.conf.set("spark.sql.shuffle.partitions", str(int(partitions) + 1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidewright.operators import partitioning as place, rolling, shaping, udfs, windows, winfuncs
+from tidewright.operators import partitioning as place, rolling, shaping, udfs, winfuncs
 from tidewright.plans.registry import query, units
 from tidewright.plans.rollings import EVENTS
 from tidewright.plans.windowed import count_sql
@@ -42,7 +42,7 @@ def udtf_flatmap(t):
 
 @query("udaf_reduce", "select o_custkey, max(o_orderkey) as o_orderkey from orders group by o_custkey")
 def udaf_reduce(t):
-    return winfuncs.reduce_function(t.orders, ["o_custkey"], "o_orderkey", lambda a, b: a if a > b else b, "bigint")
+    return winfuncs.reduce_series(t.orders, ["o_custkey"], "o_orderkey", lambda a, b: a.where(a > b, b), "bigint")
 
 
 @query("udaf_aggregate", "select event_type, sum(user_id)::double / count(*) as avg from events group by event_type")
@@ -61,11 +61,38 @@ def udaf_aggregate(t):
 @query("udwf_process", count_sql(2, "event_type", "max(user_id) - min(user_id) as spread", "events"))
 def udwf_process(t):
     """A Python function of the elements of each count window."""
-    listed = winfuncs.bounded_elements(F.col("user_id"), "rn").alias("elements")
+
+    def spread(key, window, batches):
+        low = high = None
+        for part in batches:
+            ids = part.column("user_id").to_numpy()
+            low, high = min(ids.min(), ids.min() if low is None else low), max(ids.max(), ids.max() if high is None else high)
+        yield (int(high - low),)
+
     events = t.events.select("event_id", "event_type", "user_id")
-    lists = windows.tumbling_count(events, 2, "event_id", [listed], ["event_type"])
-    spread = F.pandas_udf(lambda s: s.map(lambda e: max(e) - min(e)), "bigint")
-    return lists.select("event_type", "win", spread("elements").alias("spread"))
+    return winfuncs.process_count_windows(events, 2, "event_id", ["event_type"], spread, "spread bigint")
+
+
+@query("udwf_process_time", """with a as (select *, time_bucket(interval 1 hour, ts) as w from events),
+  b as (select *, lag(value) over (partition by event_type, w order by event_id) as before from a)
+  select event_type, w as window_start, w + interval 1 hour as window_end, count(*) as n, count(*) filter (where value > before) as rises,
+    arg_min(user_id, event_id) as first_user, arg_max(user_id, event_id) as last_user from b group by event_type, w""")
+def udwf_process_time(t):
+    """A function of the elements of a time window in order, that holds one value of the window and no more."""
+
+    def rises(key, window, batches):
+        n = up = 0
+        first = last = before = None
+        for part in batches:
+            values, users = part.column("value").to_numpy(), part.column("user_id").to_numpy()
+            up += int((values[1:] > values[:-1]).sum()) + bool(n and values[0] > before)
+            first = int(users[0]) if first is None else first
+            n, before, last = n + len(values), values[-1], int(users[-1])
+        yield n, up, first, last
+
+    events = t.events.select("event_id", "ts", "event_type", "user_id", "value")
+    schema = "n bigint, rises bigint, first_user bigint, last_user bigint"
+    return winfuncs.process_time_windows(events, "ts", "1 hour", "event_id", ["event_type"], rises, schema)
 
 
 @query("udf_process", "select o_orderkey, case when o_orderkey % 2 = 0 then 'even' else 'odd' end as tag from orders")

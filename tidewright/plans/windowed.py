@@ -125,11 +125,15 @@ def wf_aggregate_avg(t):
 
 @query("wf_process_avg", count_sql(2, "event_type", "cast(sum(value) as double) / count(*) as avg"))
 def wf_process_avg(t):
-    """The elements of each count window are listed, then folded."""
-    listed = winfuncs.bounded_elements(F.col("value"), "rn").alias("elements")
-    lists = windows.tumbling_count(t.values(), 2, "event_id", [listed], ["event_type"])
-    added = F.aggregate("elements", F.lit(0).cast("bigint"), lambda acc, v: acc + v)
-    return lists.select("event_type", "win", (units(added) / F.size("elements")).alias("avg"))
+    """The elements of each count window pass by a function that adds them up."""
+
+    def average(key, window, batches):
+        total = n = 0
+        for part in batches:
+            total, n = total + sum(part.column("value").to_pylist()), n + part.num_rows
+        yield (total / 100 / n,)
+
+    return winfuncs.process_count_windows(t.values(), 2, "event_id", ["event_type"], average, "avg double")
 
 
 @query("wf_apply_sum", f"select event_type, {TUMBLING} as window_start, count(*) as n from events group by event_type, {TUMBLING}")
@@ -138,13 +142,27 @@ def wf_apply_sum(t):
     return out.select("event_type", "window_start", "n")
 
 
-@query("wf_process_context", f"""select event_type, {TUMBLING} as window_start, {TUMBLING} + {HOUR} as window_end,
-  cast(0 as bigint) as chunk, count(*) as n, string_agg(cast(event_id as varchar), ',' order by event_id) as elements
-  from events group by event_type, {TUMBLING}""")
+CHUNK = 7
+
+
+@query("wf_process_context", f"""with a as (select *, {TUMBLING} as w,
+    (row_number() over (partition by event_type, {TUMBLING} order by event_id) - 1) // {CHUNK} as chunk from events)
+  select event_type, w as window_start, w + {HOUR} as window_end, chunk, count(*) as n,
+    string_agg(cast(event_id as varchar), ',' order by event_id) as elements from a group by event_type, w, chunk""")
 def wf_process_context(t):
+    """Key, start, end and elements of each window; the elements in lines of at most seven, as they pass by."""
+
+    def lines(key, window, batches):
+        held, chunk = [], 0
+        for part in batches:
+            held += part.column("event_id").to_pylist()
+            while len(held) > CHUNK:
+                yield chunk, CHUNK, ",".join(map(str, held[:CHUNK]))
+                held, chunk = held[CHUNK:], chunk + 1
+        yield chunk, len(held), ",".join(map(str, held))
+
     events = t.events.select("event_id", "ts", "event_type")
-    out = winfuncs.window_elements(events, "ts", "1 hour", "event_id", F.col("event_id").cast("string"), ["event_type"])
-    return out.withColumn("elements", F.array_join("elements", ","))
+    return winfuncs.process_time_windows(events, "ts", "1 hour", "event_id", ["event_type"], lines, "chunk bigint, n bigint, elements string")
 
 
 @query("wf_apply_sorted", f"""select event_type, count(*) as n, strftime(max(ts), '%Y-%m-%d %H:%M:%S') as last_time,

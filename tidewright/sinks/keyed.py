@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row, functions as F
 
+from tidewright.streaming.buckets import BucketedTable
 from tidewright.streaming.tables import VersionedTable
 
 
@@ -21,11 +22,14 @@ def last_per_key(df: DataFrame, keys: list[str], order) -> DataFrame:
     return last.select(*[F.col(c) if c in keys else F.col("last")[c].alias(c) for c in df.columns])
 
 
-def upsert_into(table: VersionedTable, keys: list[str], order) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` body that keeps a table with one row per key."""
+def upsert_into(table: VersionedTable | BucketedTable, keys: list[str], order) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body that keeps a table with one row per key; a bucketed table is sent the batch's rows alone."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         new = last_per_key(batch, keys, order)
+        if isinstance(table, BucketedTable):
+            table.put(batch_id, new)
+            return
         old = table.before(batch_id, new.schema)
         table.write(batch_id, last_per_key(old.unionByName(new), keys, order))
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewright.functions.text import is_blank, line
+from tidewright.session import new_dir
 
 
 def glob(path: str) -> str:
@@ -12,15 +13,38 @@ def glob(path: str) -> str:
     return f"{path[:-1]}[{path[-1]}]"
 
 
-def table_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def table_stream(spark: SparkSession, path: str, files_per_batch: int | None = None, schema=None) -> DataFrame:
     """A Parquet table as a stream of its files, with the schema of the table."""
-    schema = spark.read.parquet(path).schema
+    schema = schema or spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(glob(path))
 
 
+def arriving(df: DataFrame, batch: Column, batches: int, files: int = 1) -> DataFrame:
+    """``df`` as a stream of ``batches`` batches: ``batch``, from 0, tells when a row arrives. Batches without rows are left out.
+
+    For replaying a table whose rows have an arrival order. The rows are written to the shared folder once by their batch and
+    then put into the watched folder one batch after the other, each in ``files`` files; a batch of the stream is so many.
+    """
+    spark = df.sparkSession
+    base = new_dir(spark, "arriving")
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+    dealt = df.withColumn("__batch", batch.cast("int")).repartition(batches * files, "__batch", spread)
+    dealt.write.partitionBy("__batch").parquet(f"{base}/sorted")
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__batch", T.IntegerType())])).parquet(f"{base}/sorted")
+    for number in range(batches):
+        part = rows.where(F.col("__batch") == number).drop("__batch")
+        size = part.count()
+        if 0 < size < files:
+            raise ValueError(f"batch {number} has {size} rows for {files} files")
+        if size:
+            part = part.repartition(files) if files > 1 else part.coalesce(1)
+            part.write.mode("append").parquet(f"{base}/watched")
+    return table_stream(spark, f"{base}/watched", files, df.schema)
+
+
 def text_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
     """The lines of the files of a folder; files that come later are picked up.
 

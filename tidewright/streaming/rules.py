@@ -32,3 +32,17 @@ def enrich_body(read_rules: Callable[[int], DataFrame], version: str, key: str,
         output.write(batch_id, batch.join(rules, key))
 
     return write
+
+
+def enrich_in_force(events: DataFrame, rules: DataFrame, key: str, time: str, since: str, span: str, bound: str = "0 seconds") -> DataFrame:
+    """Each event with the rules of its key that are in force at its time; both sides are streams.
+
+    A rule is in force from ``since`` on for ``span``. Both sides have a watermark, ``bound`` behind their highest time. An event
+    waits in the state for rules that come later but no longer than until the watermark has passed its time, a rule
+    until the watermark has passed the end of its span, so state is bounded by ``span`` and ``bound``. Events without a rule
+    are left out.
+    """
+    left = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, bound)
+    right = rules.withColumn(since, F.col(since).cast("timestamp")).withColumnRenamed(key, "__key").withWatermark(since, bound)
+    in_force = (F.col(time) >= F.col(since)) & (F.col(time) < F.col(since) + F.expr(f"interval {span}"))
+    return left.join(right, (F.col(key) == F.col("__key")) & in_force).drop("__key")

@@ -26,6 +26,10 @@ class Folder:
     def exists(self, name: str) -> bool:
         return self._fs.exists(self._path(f"{self.path}/{name}"))
 
+    def size(self, name: str) -> int:
+        """Bytes of all files below."""
+        return self._fs.getContentSummary(self._path(f"{self.path}/{name}")).getLength()
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._path(f"{self.path}/{name}"), True)
 
@@ -39,8 +43,8 @@ class VersionedTable:
 
     KEPT = 2
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, keys=()):
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.folder = Folder(spark, self.path)
 
     def _versions(self) -> list[int]:
@@ -58,6 +62,12 @@ class VersionedTable:
         """Take over the rows of another job's table, to be found by the first batch of this one."""
         self.write(-1, savepoint.latest(schema))
 
+    def put(self, batch_id: int, changed: DataFrame) -> None:
+        """Write the version of this batch: that before it with the rows of ``changed`` in place of those of the same ``keys``."""
+        old = self.before(batch_id, changed.schema)
+        same = [old[k].eqNullSafe(changed[k]) for k in self.keys]
+        self.write(batch_id, old.join(changed, same, "anti").unionByName(changed))
+
     def _read(self, number: int, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/batch={number}")
 

@@ -30,3 +30,12 @@ def window_counts(stream: DataFrame, key: str, time: str, size: str, *aggregates
 def common_watermark(spark, idle_leave: bool) -> None:
     """Several sources in one query: the minimum of their watermarks, or the maximum so that an idle one leaves."""
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max" if idle_leave else "min")
+
+
+def distinct_within(stream: DataFrame, time: str, bound: str, columns: list[str]) -> DataFrame:
+    """The first row of each value of ``columns``; one that comes again within ``bound`` is dropped.
+
+    A value is held in the state until the watermark is ``bound`` past its time, so state is bounded by what ``bound`` spans and
+    does not grow with the stream. A row behind the watermark is dropped as late.
+    """
+    return with_bound(stream, time, bound).dropDuplicatesWithinWatermark(columns)
