@@ -56,24 +56,45 @@ BOILERPLATE = frozenset(
 )
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,8192}+\"|'[^']{0,8192}+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.S,
 )
-_HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_RAW_END = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
+_HINT = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What stands in the flow of a text: leaving it out does not part what is before from what is after.
+IN_FLOW = frozenset(
+    "ad ads advert advertisement adverts adsense sponsor sponsored promo promotion share sharing social newsletter subscribe subscription signup widget".split()
+)
+
+#: How sure it is that an element is not content: not at all, by a part of a name, by a whole name.
+NO, PART, WHOLE = 0, 1, 2
 
 
-def _says_not_content(attributes: str, inside: bool) -> bool:
+def _says_not_content(name: str, attributes: str, inside: bool) -> tuple[int, bool]:
+    """How surely the attributes of an element mark it as not content, and whether it stands in the flow of a text.
+
+    A name all of whose words do so is sure, as ``sidebar`` and ``nav-menu``; one with other words, as ``with-sidebar``, is
+    a hint. Within an article, ids are places to link to, and no hint; a heading is content whatever it is called.
+    """
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return False
+        return NO, False
     if _HIDDEN.search(attributes):
-        return True
+        return WHOLE, False
+    sure, flow = NO, False
     for found in _HINT.finditer(attributes):
-        words = set(_WORD.findall((found[1] or found[2] or found[3] or "").lower()))
-        if words & BOILERPLATE or not inside and "header" in words:
-            return True
-    return False
+        for token in (found[2] or found[3] or found[4] or "").lower().split():
+            words = set(_WORD.findall(token))
+            marked = words & BOILERPLATE or not inside and words & {"header"}
+            if not marked:
+                continue
+            whole = words <= BOILERPLATE | {"header"}
+            if not whole and (name in _HEADINGS or inside and found[1].lower() == "id"):
+                continue
+            sure, flow = max(sure, WHOLE if whole else PART), flow or bool(words & IN_FLOW)
+    return sure, flow
 
 
 class _Open:
@@ -132,7 +153,20 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     """The text of each block of a page with its length outside links; ``("", 0)`` where something was left out.
 
     If the page marks an ``article`` or ``main`` element, what is outside it counts as left out. What is left out inside
-    it ends a line only, so it does not part the text before it from the text after it.
+    it ends a line only, so it does not part the text before it from the text after it; nor does an advert or the like
+    elsewhere. A form, and an element that a part of its name speaks against, stays if it holds most of the page's text.
+    """
+    lines, hinted, kept = _parsed(page, frozenset())
+    if any(size > kept for size in hinted.values()):
+        _, sizes, total = _parsed(page, None)
+        lines, _, _ = _parsed(page, frozenset(at for at, size in sizes.items() if 2 * size > total))
+    return lines
+
+
+def _parsed(page: str, stay: frozenset[int] | None) -> tuple[list[tuple[str, int]], dict[int, int], int]:
+    """Lines, the text of each element that was left out by a hint (by its place), and the text that was kept, links apart.
+
+    ``stay`` has places of elements that no hint leaves out. None stands for all: then each hinted element's own text is measured.
     """
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
@@ -141,7 +175,10 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     body = 0
     body_seen = False
     open_ = _Open()
-    at = 0
+    at = kept = left = 0
+    hinted: dict[int, int] = {}
+    measured: list[tuple[int, int, int]] = []
+    by_hint, sure = -1, NO
 
     def end_line():
         nonlocal parts, linked
@@ -155,28 +192,39 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         if not body:
             lines.extend([("", 0, True)] * WINDOW)
 
-    lower = None
+    def settle():
+        """Note the text of hinted elements that have ended."""
+        nonlocal by_hint
+        if by_hint >= 0 and open_.skipped < 0:
+            hinted[by_hint], by_hint = left, -1
+        while measured and len(open_.names) <= measured[-1][0]:
+            _, place, before = measured.pop()
+            hinted[place] = kept - before
+
     while True:
         found = _TAG.search(page, at)
         text = page[at : found.start()] if found else page[at:]
-        if text and open_.skipped < 0:
-            parts.append(text)
-            if in_link:
-                linked += len(text)
+        if text:
+            size = 0 if in_link else len(text.strip())
+            if open_.skipped < 0:
+                parts.append(text)
+                kept += size
+                if in_link:
+                    linked += len(text)
+            else:
+                left += size
         if not found:
             break
-        at = found.end()
+        start, at = found.start(), found.end()
         name = (found[2] or found[5] or "").lower()
         if not name:
             continue
         closing, attributes = bool(found[1] or found[4]), found[3] or found[6] or ""
         if not closing and name in RAW:
-            if lower is None:
-                lower = page.lower() if len(page.lower()) == len(page) else page
-            end = lower.find("</" + name, at)
-            if end < 0:
+            end = _RAW_END[name].search(page, at)
+            if not end:
                 break
-            at = page.find(">", end) + 1 or len(page)
+            at = page.find(">", end.start()) + 1 or len(page)
             if name not in INLINE and open_.skipped < 0:
                 end_line()
             continue
@@ -185,28 +233,42 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         if not closing:
             open_.opening(name)
         elif open_.closing(name):
+            settle()
             continue
         if opens:
             open_.push(name)
+        settle()
         if open_.skipped >= 0:
-            if name not in ("article", "main") or closing or _says_not_content(attributes, False) or skip in ("article", "main"):
+            if name not in ("article", "main") or closing or sure == WHOLE or _says_not_content(name, attributes, False)[0] == WHOLE or skip in ("article", "main"):
                 continue
             open_.skipped = -1
+            settle()
         if name in ("article", "main"):
             if closing:
                 end_line()
                 body = max(0, body - 1)
                 gap()
                 continue
-            if not _says_not_content(attributes, True):
+            if not _says_not_content(name, attributes, True)[0]:
                 gap()
                 body, body_seen = body + 1, True
                 continue
         if opens:
-            if name in NOT_CONTENT or name == "header" and not body or _says_not_content(attributes, body > 0) and name not in ("html", "body"):
-                gap()
-                open_.skipped = len(open_.names) - 1
-                continue
+            says, flow = _says_not_content(name, attributes, body > 0) if name not in ("html", "body") else (NO, False)
+            fixed = name in NOT_CONTENT and name != "form" or name == "header" and not body
+            if says == WHOLE or fixed or says == PART or name == "form":
+                weak = says != WHOLE and not fixed
+                if weak and (stay is None or start in stay):
+                    measured.append((len(open_.names) - 1, start, kept))
+                else:
+                    if flow and not fixed:
+                        end_line()
+                    else:
+                        gap()
+                    open_.skipped, sure = len(open_.names) - 1, says
+                    if weak:
+                        by_hint, left = start, 0
+                    continue
         if name == "a":
             in_link = max(0, in_link + (-1 if closing else 1))
         if name == "br":
@@ -215,7 +277,10 @@ def lines_of(page: str) -> list[tuple[str, int]]:
             in_link = 0
             end_line()
     end_line()
-    return [(t, n) if inside or not body_seen else ("", 0) for t, n, inside in lines]
+    open_._cut(0, len(open_.names))
+    open_.skipped = -1
+    settle()
+    return [(t, n) if inside or not body_seen else ("", 0) for t, n, inside in lines], hinted, kept
 
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
