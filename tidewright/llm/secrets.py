@@ -28,7 +28,9 @@ _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x2
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-_EXAMPLE = re.compile(r"example|sample|dummy|changeme|placeholder|your|xxxx|1234567|abcdef", re.I)
+_SAMPLE = "an?|my|the|your|this|some|example|sample|dummy|changeme|change|me|placeholder|here|password|passwd|secret|token|api|key|x{4,}|1234567[0-9]*|abcdef"
+#: A value that is nothing but words of examples, from end to end; access keys of documentation end in the word.
+_EXAMPLE = re.compile(f"(?:{_SAMPLE})(?:[_.-]+(?:{_SAMPLE}))*|AKIA[A-Z0-9]*EXAMPLE", re.I)
 
 
 def candidates(text: str) -> list[tuple[str, int, int, int, str]]:
@@ -44,8 +46,8 @@ def candidates(text: str) -> list[tuple[str, int, int, int, str]]:
 
 
 def looks_live(value: str, kind: str = "") -> bool:
-    """Without the words examples are made of and, unless it is assigned to a keyword, long and as mixed as random characters."""
-    if _EXAMPLE.search(value):
+    """Not made of the words of examples alone and, unless it is assigned to a keyword, long and as mixed as random characters."""
+    if _EXAMPLE.fullmatch(value):
         return False
     if kind == "assign":
         return True
