@@ -8,7 +8,7 @@ from tidewright.operators import eventtime
 from tidewright.plans.registry import query
 from tidewright.session import new_dir
 from tidewright.sinks.files import as_text
-from tidewright.sources.streams import arriving, table_stream, text_stream
+from tidewright.sources.streams import arriving, text_stream
 from tidewright.streaming import timers, watermark
 from tidewright.streaming.tables import drain
 
@@ -39,23 +39,39 @@ def wm_assign_timestamp(t):
     )
 
 
-def closed_sql(bound: str) -> str:
-    bucket = "time_bucket(interval 1 hour, ts)"
-    return f"""select event_type, {bucket} as window_start, {bucket} + interval 1 hour as window_end, count(*) as n
-      from events group by event_type, {bucket}
-      having {bucket} + interval 1 hour <= (select max(ts) from events) - interval {bound}"""
+BATCHES = 6
+BATCH = f"s * {BATCHES} // (max(s) over () + 1)"
+
+
+def arriving_batches(t):
+    """The arrivals as a stream in six batches."""
+    arrivals = t.arrivals().select("k", "s", "event_id", "t")
+    end = arrivals.agg(F.max("s")).first()[0] + 1
+    return arriving(arrivals, F.floor(F.col("s") * BATCHES / end), BATCHES)
+
 
+def closed_sql(bound_ms: int) -> str:
+    """Windows that the watermark of the last batch closes, without the rows behind the watermark of the batch before theirs."""
+    return f"""with a as (select *, {END} as we, {BATCH} as b from {ARRIVALS}),
+      w as (select b, max(max(t)) over (order by b rows between unbounded preceding and 2 preceding) - {bound_ms} as wm from a group by b)
+      select k, make_timestamp((we - {HOUR_MS}) * 1000) as window_start, make_timestamp(we * 1000) as window_end, count(*) as n
+      from a join w using (b) where coalesce(we > wm, true) and we <= (select max(t) - {bound_ms} from a) group by k, we"""
 
-@query("wm_monotonous", closed_sql("0 second"))
+
+def closed_windows(t, assign):
+    stream = assign(arriving_batches(t).withColumn("at", F.timestamp_millis("t")), "at")
+    return drain(watermark.window_counts(stream, "k", "at", "1 hour"), "closed")
+
+
+@query("wm_monotonous", closed_sql(0))
 def wm_monotonous(t):
-    stream = watermark.monotonous(table_stream(t.spark, t.path("events")).select("event_type", "ts"), "ts")
-    return drain(watermark.window_counts(stream, "event_type", "ts", "1 hour"), "monotonous")
+    """Times that should not fall: what comes out of order is late as soon as its window has closed."""
+    return closed_windows(t, watermark.monotonous)
 
 
-@query("wm_bounded", closed_sql("2 hour"))
+@query("wm_bounded", closed_sql(2 * HOUR_MS))
 def wm_bounded(t):
-    stream = watermark.with_bound(table_stream(t.spark, t.path("events")).select("event_type", "ts"), "ts", "2 hours")
-    return drain(watermark.window_counts(stream, "event_type", "ts", "1 hour"), "bounded")
+    return closed_windows(t, lambda stream, time: watermark.with_bound(stream, time, "2 hours"))
 
 
 @query("wm_periodic_custom", fired_sql(
@@ -146,8 +162,6 @@ def late_side_output(t):
     return late.select("k", "event_id", "t", "window_end")
 
 
-BATCHES = 6
-BATCH = f"s * {BATCHES} // (max(s) over () + 1)"
 FIRED = f"""with a as (select *, {END} as we, {BATCH} as b from {ARRIVALS}),
   w as (select b, max(max(t)) over (order by b rows between unbounded preceding and 1 preceding) - {HOUR_MS} as wm from a group by b),
   m as (select a.*, case when wm >= we + {HALF_HOUR_MS} then 'late' when wm >= we then 'refire' else 'first' end as tag
@@ -158,9 +172,7 @@ FIRED = f"""with a as (select *, {END} as we, {BATCH} as b from {ARRIVALS}),
 
 def firings(t):
     """The windows of a stream in six batches of arrival."""
-    arrivals = t.arrivals()
-    end = arrivals.agg(F.max("s")).first()[0] + 1
-    stream = arriving(arrivals.select("k", "s", "event_id", "t"), F.floor(F.col("s") * BATCHES / end), BATCHES)
+    stream = arriving_batches(t)
     return timers.firing_windows(stream, "k", "t", "event_id", HOUR_MS, HOUR_MS, HALF_HOUR_MS)
 
 

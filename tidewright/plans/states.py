@@ -11,7 +11,7 @@ from tidewright.plans.rollings import EVENTS, OVER
 from tidewright.plans.wordcounts import LINES
 from tidewright.session import new_dir
 from tidewright.sinks.keyed import upsert_into
-from tidewright.sources.streams import arriving, table_stream
+from tidewright.sources.streams import arriving
 from tidewright.sources.tailing import line_tail
 from tidewright.streaming import metrics, rules, state
 from tidewright.streaming.buckets import BucketedTable
@@ -136,14 +136,19 @@ def state_broadcast_enrich_stream(t):
     return drain(rules.enrich_in_force(*streams, "id", "ts", "since", "1 day", "1 day").select("event_id", "rule"), "in-force")
 
 
-@query("udf_broadcast_process", f"""select event_id, rule from events join {RULES} r on r.id = user_id % 25
-  where since = (select max(since) from {RULES})""")
+@query("udf_broadcast_process", f"""with e as (select *, event_id * {BATCHES} // (max(event_id) over () + 1) as b from events)
+  select event_id, rule from e join {RULES} r on r.id = user_id % 25 and since = timestamp '2024-01-01' + interval 1 day * (7 * (b + 1))""")
 def udf_broadcast_process(t):
-    """The stream form: every batch meets the newest set of rules there is."""
+    """The stream form: every batch meets the newest set of rules there is then; a week's sets come between two batches."""
     base = new_dir(t.spark, "enrich")
     output = BatchOutput(t.spark, f"{base}/rows")
-    stream = table_stream(t.spark, t.path("events")).select("event_id", (F.col("user_id") % 25).cast("int").alias("id"))
-    run_batches(stream, rules.enrich_body(lambda _: rule_sets(t), "since", "id", output), f"{base}/checkpoint")
+    stream = arriving_events(t, (F.col("user_id") % 25).cast("int").alias("id"))
+
+    def known(batch_id: int):
+        until = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(7 * (batch_id + 1)))
+        return rule_sets(t).where(F.col("since") <= until)
+
+    run_batches(stream, rules.enrich_body(known, "since", "id", output), f"{base}/checkpoint")
     return output.read("id int, event_id bigint, rule string").select("event_id", "rule")
 
 
@@ -204,9 +209,10 @@ def state_local_counter(t):
 
 @query("checkpoint_resume", "select event_type, count(*) as n from events group by event_type")
 def checkpoint_resume(t):
-    """A run that fails at large values, and one that goes on from its checkpoint without the check."""
-    stream = table_stream(t.spark, t.path("events")).select("event_type", "value")
-    checked = state.guarded(stream, F.col("value") > 100)
+    """A run that fails in the third of four batches, and one that goes on from its checkpoint without the check."""
+    stream = arriving_events(t, "event_type")
+    middle = t.events.agg(F.max("event_id")).first()[0] * 5 // 8
+    checked = state.guarded(stream, F.col("event_id") >= middle)
     first, second = (rows.groupBy("event_type").agg(F.count(F.lit(1))) for rows in (checked, stream))
     return state.run_then_resume(first, second, new_dir(t.spark, "checkpoint")).withColumnRenamed("count", "n")
 

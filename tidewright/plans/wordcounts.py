@@ -11,7 +11,7 @@ from tidewright.plans.registry import query
 from tidewright.session import new_dir
 from tidewright.sinks.files import as_text
 from tidewright.sources.bounded import text_lines
-from tidewright.sources.streams import file_tail, table_stream, text_stream
+from tidewright.sources.streams import arriving, file_tail, text_stream
 from tidewright.streaming.state import kept_in_state
 from tidewright.streaming.tables import Folder
 
@@ -42,7 +42,10 @@ def wordcount_unified(t):
 
 @query("wordcount_stream", COUNTS)
 def wordcount_stream(t):
-    stream = table_stream(t.spark, t.path("documents")).select(F.col("text").alias("value"))
+    """Counts kept over four batches of documents."""
+    documents = t.documents.select("doc_id", "text")
+    end = documents.agg(F.max("doc_id")).first()[0] + 1
+    stream = arriving(documents, F.floor(F.col("doc_id") * 4 / end), 4).select(F.col("text").alias("value"))
     return kept_in_state(word_count(stream), new_dir(t.spark, "wordcount"))
 
 

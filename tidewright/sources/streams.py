@@ -25,13 +25,14 @@ def table_stream(spark: SparkSession, path: str, files_per_batch: int | None = N
 def arriving(df: DataFrame, batch: Column, batches: int, files: int = 1) -> DataFrame:
     """``df`` as a stream of ``batches`` batches: ``batch``, from 0, tells when a row arrives. Batches without rows are left out.
 
+    A row whose batch is null comes with the first, one beyond the last with the last.
     For replaying a table whose rows have an arrival order. The rows are written to the shared folder once by their batch and
     then put into the watched folder one batch after the other, each in ``files`` files; a batch of the stream is so many.
     """
     spark = df.sparkSession
     base = new_dir(spark, "arriving")
     spread = F.pmod(F.xxhash64(*df.columns), F.lit(files))
-    dealt = df.withColumn("__batch", batch.cast("int")).repartition(batches * files, "__batch", spread)
+    dealt = df.withColumn("__batch", F.least(F.greatest(F.coalesce(batch.cast("int"), F.lit(0)), F.lit(0)), F.lit(batches - 1))).repartition(batches * files, "__batch", spread)
     dealt.write.partitionBy("__batch").parquet(f"{base}/sorted")
     rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__batch", T.IntegerType())])).parquet(f"{base}/sorted")
     for number in range(batches):
