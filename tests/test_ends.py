@@ -103,6 +103,7 @@ def test_last_per_key(spark):
 
 
 def test_csv_of_one_row(spark, tmp_path):
+    # A row of the user table.
     row = [(15, "zhangsan", 40, 1, "CN", "2020-09-08 00:00:00", 1599494400000)]
     df = spark.createDataFrame(row, "id int, name string, age int, flag int, country string, ts string, ms bigint")
     path = files.as_csv(df, str(tmp_path / "user"), one_file=True)

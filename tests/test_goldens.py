@@ -8,19 +8,42 @@ from tidewright.operators import eventtime, lookup, partitioning, rolling, shapi
 from tidewright.operators.ordered import total
 from tidewright.operators.wordcount import word_count
 
-WORD_LINES = (
-    ["Total time BUILD SUCCESS", "Final Memory Finished at"] * 3 + ["BUILD SUCCESS"] * 5 + ["SPARK HADOOP BEIJING"]
-)
+# The input lines of the word count, and its result.
+WORD_LINES = [
+    "Total time BUILD SUCCESS",
+    "Final Memory Finished at",
+    "Total time BUILD SUCCESS",
+    "Final Memory Finished at",
+    "Total time BUILD SUCCESS",
+    "Final Memory Finished at",
+    "BUILD SUCCESS",
+    "BUILD SUCCESS",
+    "BUILD SUCCESS",
+    "BUILD SUCCESS",
+    "BUILD SUCCESS",
+    "SPARK HADOOP BEIJING",
+]
 WORD_COUNTS = {
     "BUILD": 8, "SUCCESS": 8, "Total": 3, "time": 3, "Final": 3, "Memory": 3, "Finished": 3, "at": 3,
     "SPARK": 1, "HADOOP": 1, "BEIJING": 1,
 }
-CSS = "/presentations/logstash-monitorama-2013/css/print/paper.css"
-LOG = (
-    ["86.149.9.216 10001 17/05/2015:10:05:30 GET /presentations/logstash-monitorama-2013/images/github-contributions.png"]
-    + [f"83.149.9.216 10002 17/05/2015:10:06:53 GET {CSS}"] * 6
-    + [f"10.0.0.1 10003 17/05/2015:10:{m}:53 POST {CSS}" for m in ("06", "07", "08", "09", "10", "16", "26")]
-)
+# The lines of the access log.
+LOG = [
+    "86.149.9.216 10001 17/05/2015:10:05:30 GET /presentations/logstash-monitorama-2013/images/github-contributions.png",
+    "83.149.9.216 10002 17/05/2015:10:06:53 GET /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "83.149.9.216 10002 17/05/2015:10:06:53 GET /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "83.149.9.216 10002 17/05/2015:10:06:53 GET /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "83.149.9.216 10002 17/05/2015:10:06:53 GET /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "83.149.9.216 10002 17/05/2015:10:06:53 GET /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "83.149.9.216 10002 17/05/2015:10:06:53 GET /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "10.0.0.1 10003 17/05/2015:10:06:53 POST /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "10.0.0.1 10003 17/05/2015:10:07:53 POST /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "10.0.0.1 10003 17/05/2015:10:08:53 POST /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "10.0.0.1 10003 17/05/2015:10:09:53 POST /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "10.0.0.1 10003 17/05/2015:10:10:53 POST /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "10.0.0.1 10003 17/05/2015:10:16:53 POST /presentations/logstash-monitorama-2013/css/print/paper.css",
+    "10.0.0.1 10003 17/05/2015:10:26:53 POST /presentations/logstash-monitorama-2013/css/print/paper.css",
+]
 
 
 def lines(spark, values, name="value"):
@@ -42,6 +65,7 @@ def test_log(spark):
 
 
 def test_unpivot(spark):
+    # Rows of three products a person.
     data = [("张三", "苹果手机", "联想电脑", "华为平板"), ("李四", "华为手机", "苹果电脑", "小米平板")]
     out = shaping.unpivot_pairs(spark.createDataFrame(data, "name string, a string, b string, c string"), "name", ["a", "b", "c"], "hive")
     assert [r.pair for r in out.collect()] == [
@@ -49,6 +73,7 @@ def test_unpivot(spark):
     ]
 
 
+# The rows of the rolling extremes.
 TRIPLES = [(1, 3, 2), (1, 1, 2), (1, 2, 3), (1, 111, 1), (1, 1, 1), (1, 2, 0), (1, 33, 2)]
 
 
@@ -194,25 +219,36 @@ def test_sessions_match_the_built_in_ones(spark):
     assert set(map(tuple, ours.collect())) == set(map(tuple, native.select("k", "w.start", "w.end", "n").collect()))
 
 
-T0 = 1626936200
-LATENESS = [2, 7, 2, 3, 8, 2, 3, 9, 2, 10, 2, 15]
-FIRINGS = [("first", 5, 3), ("first", 10, 3), ("late", 5, None), ("refire", 5, 4), ("refire", 5, 5), ("refire", 5, 6)]
+# The times of arriving rows in seconds, and what fires: tag, end of the window in seconds, count.
+LATENESS = [
+    1626936202, 1626936207, 1626936202, 1626936203, 1626936208, 1626936202,
+    1626936203, 1626936209, 1626936202, 1626936210, 1626936202, 1626936215,
+]
+FIRINGS = [
+    ("first", 1626936205, 3),
+    ("first", 1626936210, 3),
+    ("late", 1626936205, None),
+    ("refire", 1626936205, 4),
+    ("refire", 1626936205, 5),
+    ("refire", 1626936205, 6),
+]
 
 
 def arrivals(spark, seconds_, key="hadoop"):
-    return spark.createDataFrame([(key, i, (T0 + s) * 1000) for i, s in enumerate(seconds_)], "k string, s bigint, t bigint")
+    return spark.createDataFrame([(key, i, s * 1000) for i, s in enumerate(seconds_)], "k string, s bigint, t bigint")
 
 
 @pytest.mark.parametrize("cut", [{}, {"rows_per_slice": 2}])
 def test_lateness(spark, cut):
     out = eventtime.with_lateness(arrivals(spark, LATENESS), "k", "t", "s", 5000, 3000, 2000, **cut)
-    got = sorted(((r.tag, r.window_end // 1000 - T0, r.n) for r in out.collect()), key=repr)
+    got = sorted(((r.tag, r.window_end // 1000, r.n) for r in out.collect()), key=repr)
     assert got == sorted(FIRINGS, key=repr)
     assert {r.seq for r in out.collect() if r.tag == "late"} == {10}
     side = eventtime.late_side_output(arrivals(spark, LATENESS), "k", "t", "s", 5000, 3000, 2000, **cut)
     assert [r.s for r in side.collect()] == [10]
 
 
+# Sensor rows with their time in seconds.
 SENSORS = [("sensor_1", 1547718199), ("sensor_6", 1547718201), ("sensor_6", 1547718205), ("sensor_6", 1547718210)]
 
 

@@ -134,3 +134,45 @@ def test_type_does_not_depend_on_the_cut(spark):
     assert sorted(plain.collect()) == sorted(cut.collect())
     plain, cut = (Ordered(df, "id", rows_per_slice=n).whole(s=total("v")).rows() for n in (1000, 10))
     assert plain.schema["s"].dataType == cut.schema["s"].dataType
+
+
+def test_ties_are_cut_along_the_next_column(spark):
+    """All rows of a key at one time, and a key whose rows are at two: the second order column cuts them."""
+    data = [("hot", 5, i, i % 7) for i in range(300)] + [("two", 3 + i // 150, i, 1) for i in range(300)] + [("a", i, 0, 2) for i in range(4)]
+    df = spark.createDataFrame(data, "k string, t bigint, seq bigint, v bigint")
+    ordered = Ordered(df, ["t", "seq"], ["k"], rows_per_slice=20)
+    assert ordered.df.groupBy("k", *ordered.levels).count().agg(F.max("count")).first()[0] <= 40
+    got = {(r.k, r.t, r.seq): (r.s, r.n) for r in ordered.running(s=total("v"), n=rows()).rows().collect()}
+    held = {}
+    for k, t, seq, v in sorted(data):
+        s, n = held.get(k, (0, 0))
+        held[k] = (s + v, n + 1)
+        assert got[k, t, seq] == held[k]
+    whole = ordered.whole(all=rows()).rows().groupBy("k").agg(F.min("all").alias("a"), F.max("all").alias("b")).collect()
+    assert {r.k: (r.a, r.b) for r in whole} == {"hot": (300, 300), "two": (300, 300), "a": (4, 4)}
+
+
+def test_cutting_does_not_end_at_a_number_of_levels(spark):
+    """Rows that lie ever closer to the first: each level halves what is left."""
+    data = [("hot", (1 << 60) >> i, i * 8 + j, 1) for i in range(60) for j in range(8)]
+    df = spark.createDataFrame(data, "k string, t bigint, seq bigint, v bigint")
+    ordered = Ordered(df, ["t", "seq"], ["k"], rows_per_slice=10)
+    assert len(ordered.levels) > 8
+    assert ordered.df.groupBy("k", *ordered.levels).count().agg(F.max("count")).first()[0] <= 20
+    got = {r.seq: r.s for r in ordered.running(s=total("v")).rows().collect()}
+    assert got == {seq: n for n, (_, _, seq, _) in enumerate(sorted(data, key=lambda r: (r[1], r[2])), 1)}
+
+
+def test_scaled_sums_do_not_depend_on_the_cut(spark):
+    draw = random.Random(9)
+    data = [("hot", i, round(draw.uniform(-1e6, 1e6), 2)) for i in range(400)]
+    df = spark.createDataFrame(data, "k string, seq bigint, v double")
+    results = []
+    for limit in (7, 50, 1000):
+        out = Ordered(df, "seq", ["k"], rows_per_slice=limit).running(s=total("v", scale=2)).rows()
+        results.append([r.s for r in out.orderBy("seq").select(F.col("s").cast("double").alias("s")).collect()])
+    cents, expected = 0, []
+    for _, _, v in data:
+        cents += round(v * 100)
+        expected.append(cents / 100)
+    assert results == [expected] * 3

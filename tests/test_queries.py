@@ -11,7 +11,7 @@ FOLDER = f"{DATA}/sf0.001"
 PYTHON = ("ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups", "BatchEvalPython", "PythonDataSource")
 USES_PYTHON = {
     "udf_map", "udf_filter", "udtf_flatmap", "udaf_reduce", "udaf_aggregate", "udwf_process", "udwf_process_time",
-    "rolling_reduce", "wf_process_avg", "wf_process_context",
+    "rolling_reduce", "wf_process_avg", "wf_process_context", "sink_custom", "sink_output_format",
     "src_generator_parallel", "src_generator_rich",
 }
 

@@ -156,6 +156,17 @@ def test_join_of_frequent_keys_equals_the_plain_join(spark, rows, how, most_byte
     assert heavy.join_frequent(left.limit(0), right, "k", how).collect() == []
 
 
+def test_a_lookup_in_a_large_dimension(spark, rows, monkeypatch):
+    """Too large to broadcast whole: the frequent keys are joined apart, the result stays."""
+    from tidewright.operators import lookup
+
+    facts = spark.range(900).select(F.when(F.col("id") % 2 == 0, 3).otherwise(F.col("id")).alias("k"), "id")
+    dimension = spark.range(0, 600).select(F.col("id").alias("k"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"), F.lit(1).alias("other"))
+    expected = rows(lookup.lookup(facts, dimension, "k", "name", "none"))
+    monkeypatch.setattr(lookup, "broadcast_if_small", lambda df: df)
+    assert rows(lookup.lookup(facts, dimension, "k", "name", "none")) == expected and len(expected) == 900
+
+
 def test_a_frequent_key_is_spread(spark):
     left = spark.range(6000).select(F.lit(1).cast("long").alias("k"), "id")
     right = spark.range(50).select((F.col("id") % 5).alias("k"), F.col("id").alias("r"))

@@ -78,8 +78,9 @@ def with_lateness(df, key, time, order, size_ms, bound_ms, lateness_ms, **cut) -
     """First firings, re-firings and late rows: ``key, window_end, tag, seq, n``.
 
     ``first``: the window's count when the watermark reaches its end. ``refire``: the count after
-    each further row that comes within the lateness. ``late``: a row after that. ``seq`` is the last
-    order column of the row behind a re-firing or a late row, which must be unique.
+    each further row that comes within the lateness. ``late``: a row after that. ``untimed``: a row without
+    a time, which is in no window. ``seq`` is the last order column of the row behind a re-firing, a late or an untimed
+    row, which must be unique.
     """
     seq = order if isinstance(order, str) else order[-1]
     ordered = Ordered(df, order, **cut).running({"__seen": highest(time)})
@@ -87,21 +88,21 @@ def with_lateness(df, key, time, order, size_ms, bound_ms, lateness_ms, **cut) -
     before = F.col("__seen") - bound_ms - 1
     marked = ordered.rows().withColumn("window_end", window_end(F.col(time), size_ms)).withColumn(
         "tag",
-        F.when(before >= end - 1 + lateness_ms, "late").when(before >= end - 1, "refire").otherwise("first"),
+        F.when(end.isNull(), "untimed").when(before >= end - 1 + lateness_ms, "late").when(before >= end - 1, "refire").otherwise("first"),
     )
     last_wm = _highest_time(df, time) - bound_ms - 1
     fired = marked.where((F.col("tag") != "first") | (end - 1 <= last_wm))
     sizing = df.withColumn("window_end", window_end(F.col(time), size_ms))
-    counted = Ordered(fired, order, [key, "window_end"], sizing=sizing, **cut).running(n=rows(F.col("tag") != "late")).rows()
+    counted = Ordered(fired, order, [key, "window_end"], sizing=sizing, **cut).running(n=rows(~F.col("tag").isin("late", "untimed"))).rows()
     return counted.groupBy(
         key, "window_end", "tag", F.when(F.col("tag") != "first", F.col(seq)).alias("seq")
-    ).agg(F.max(F.when(F.col("tag") != "late", F.col("n"))).alias("n"))
+    ).agg(F.max(F.when(~F.col("tag").isin("late", "untimed"), F.col("n"))).alias("n"))
 
 
 def late_side_output(df, key, time, order, size_ms, bound_ms, lateness_ms, **cut) -> DataFrame:
-    """The rows themselves that came after their window was closed for good."""
+    """The rows themselves that came after their window was closed for good, and those without a time, which are in none."""
     marked = before_each_row(df, time, order, bound_ms, **cut).withColumn("window_end", window_end(F.col(time), size_ms))
-    return marked.where(F.col("wm_before") >= F.col("window_end") - 1 + lateness_ms)
+    return marked.where(F.col(time).isNull() | (F.col("wm_before") >= F.col("window_end") - 1 + lateness_ms))
 
 
 def periodic(df, key, time, arrival_ms, size_ms, period_ms) -> DataFrame:

@@ -28,9 +28,16 @@ def last_put_wins(dimension: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def lookup(facts: DataFrame, dimension: DataFrame, key: str, field: str, default: str) -> DataFrame:
-    """``facts`` with ``field`` of the dimension row of the same key, or ``default``."""
-    side = broadcast_if_small(dimension.select(key, field))
-    return facts.join(side, key, "left").withColumn(field, F.coalesce(F.col(field), F.lit(default)))
+    """``facts`` with ``field`` of the dimension row of the same key, or ``default``.
+
+    A dimension too large to broadcast as a whole is still broadcast for the keys that many facts have.
+    """
+    from tidewright.operators.heavy import join_frequent
+
+    rows = dimension.select(key, field)
+    side = broadcast_if_small(rows)
+    joined = facts.join(side, key, "left") if side is not rows else join_frequent(facts, rows, key, "left")
+    return joined.withColumn(field, F.coalesce(F.col(field), F.lit(default)))
 
 
 def file_dimension(spark, path: str, schema: str, sep: str) -> DataFrame:

@@ -8,7 +8,8 @@ task keep the plain window and the same single shuffle.
 
 The cut is decided from a sample: a group that holds more than ``rows_per_slice`` is cut into equal
 spans of the order value, meant to be half full, and a span that still holds too much is cut again.
-Only the layout depends on the sample. Any cut along the order gives the same results, and no row is
+A span of a single value is cut along the next order column. A span is less than half of the one it is cut from, so
+this ends after as many levels as an order value has bits. Only the layout depends on the sample. Any cut along the order gives the same results, and no row is
 left out. The limit never falls below ``total / MOST_GROUPS``, so fewer than ``MOST_GROUPS`` groups
 can be over it at any level. That bounds the tables broadcast here whatever the size of the data.
 """
@@ -24,7 +25,6 @@ from tidewright.session import materialise
 ROWS_FLOOR = 1 << 18
 ROWS_CEILING = 1 << 22
 MOST_GROUPS = 1 << 16
-MOST_LEVELS = 8
 SAMPLED_PER_SLICE = 2000
 
 
@@ -35,8 +35,12 @@ class Running(NamedTuple):
     column: Column
 
 
-def total(column) -> Running:
-    return Running("sum", F.col(column) if isinstance(column, str) else column)
+def total(column, scale: int | None = None) -> Running:
+    """A sum. With ``scale``, values are rounded to so many decimal places and added exactly, so that the result, a decimal, does
+    not depend on where the rows are cut; a sum of doubles does, in its last bits, as it does on any order of rows.
+    """
+    column = F.col(column) if isinstance(column, str) else column
+    return Running("sum", column if scale is None else column.cast(f"decimal({min(38, 20 + scale)},{scale})"))
 
 
 def rows(condition: Column | None = None) -> Running:
@@ -75,6 +79,12 @@ def order_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"{name}: order by an integer, date or timestamp column, not {kind.simpleString()}")
 
 
+def countable(df: DataFrame, name: str) -> bool:
+    """Whether :func:`order_number` knows the column's type."""
+    kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.TimestampType, T.TimestampNTZType, T.DateType)
+    return isinstance(df.schema[name].dataType, kinds)
+
+
 def _apart(high: Column, low: Column) -> Column:
     """The difference of two longs, however far apart they are."""
     return (high.cast("decimal(19,0)") - low.cast("decimal(19,0)")).cast("double")
@@ -90,7 +100,8 @@ def _all(conditions: list[Column]) -> Column:
 class Ordered:
     """``df`` in the order of ``order`` within ``keys``, cut into slices where a group is too large.
 
-    The first order column must be an integer, date or timestamp; the others break its ties. The
+    The first order column must be an integer, date or timestamp; the others break its ties, and many rows of one
+    value are cut along those of them that are such columns too. The
     whole list must be unique within a key for the running results to be deterministic, and ``df``
     must give the same rows when it is read again.
     """
@@ -112,29 +123,33 @@ class Ordered:
         if rows_in_all <= limit:
             return
         share = min(1.0, SAMPLED_PER_SLICE / limit)
-        sample = sizing.select(*self.keys, order_number(sizing, self.order[0]).alias("__place"))
+        places = [c for i, c in enumerate(self.order) if i == 0 or countable(self.df, c)]
+        sample = sizing.select(*self.keys, *[order_number(sizing, c).alias(f"__place{i}") for i, c in enumerate(places)])
         sample = materialise(sample.sample(share, seed=1) if share < 1 else sample)
-        place = order_number(self.df, self.order[0])
-        while len(self.levels) < MOST_LEVELS:
+        for i, column in enumerate(places):
+            sample = self._cut_along(sample, f"__place{i}", order_number(self.df, column), limit * share)
+
+    def _cut_along(self, sample: DataFrame, name: str, place: Column, most: float) -> DataFrame:
+        """Cut along one order column what has more than ``most`` sampled rows, level by level."""
+        cut_before = sample
+        while True:
             by = self.keys + self.levels
-            cut_before = sample.where(F.col(self.levels[-1]).isNotNull()) if self.levels else sample
-            groups = cut_before.groupBy(*by).agg(
-                F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__lo"), F.max("__place").alias("__hi")
-            )
-            crowded = groups.where((F.col("__n") > limit * share) & (F.col("__hi") > F.col("__lo")))
+            groups = cut_before.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), F.min(name).alias("__lo"), F.max(name).alias("__hi"))
+            crowded = groups.where((F.col("__n") > most) & (F.col("__hi") > F.col("__lo")))
             span = _apart(F.col("__hi"), F.col("__lo")) + 1
             crowded = materialise(
                 crowded.select(
                     *[F.col(c).alias(f"__by{i}") for i, c in enumerate(by)],
                     F.col("__lo"),
-                    F.greatest(F.lit(1.0), span * (limit * share / 2) / F.col("__n")).alias("__width"),
+                    F.greatest(F.lit(1.0), span * (most / 2) / F.col("__n")).alias("__width"),
                 )
             )
             if crowded.isEmpty():
-                return
+                return sample
             self.df = self._slice(self.df, place, by, crowded)
-            sample = self._slice(sample, F.col("__place"), by, crowded)
+            sample = self._slice(sample, F.col(name), by, crowded)
             self.levels.append(f"__slice{len(self.levels)}")
+            cut_before = sample.where(F.col(self.levels[-1]).isNotNull())
 
     def _slice(self, df: DataFrame, place: Column, by: list[str], crowded: DataFrame) -> DataFrame:
         """Number the slices of the crowded groups; fewer than MOST_GROUPS of them are broadcast."""
@@ -193,7 +208,7 @@ class Ordered:
         """Join what the other slices add up to; the table of slices has a row per slice of a cut group."""
         names, alias = self.keys + self.levels, self._aliases()
         slices = (
-            self.df.where(F.col(self.levels[0]).isNotNull())
+            self.df.where(F.coalesce(*[F.col(c) for c in self.levels]).isNotNull())
             .groupBy(*[F.col(c).alias(a) for c, a in zip(names, alias)])
             .agg(*[_AGGREGATE[a.kind](a.column).alias(name) for name, a in aggregates.items()])
         )

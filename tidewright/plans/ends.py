@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidewright.functions import seeded
 from tidewright.operators import heavy
 from tidewright.operators.rolling import union_all
+from tidewright.operators.windows import numbered
 from tidewright.plans.registry import query
 from tidewright.session import new_dir
 from tidewright.sinks import console, custom, files, keyed, transactional
@@ -47,9 +48,10 @@ def src_sequence(t):
     return ids.join(lines, "id", "left").select("id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
 
 
-@query("src_counter", "select unnest(range(1, (select count(*) from orders)::bigint + 1)) as n")
+@query("src_counter", "select o_orderkey, row_number() over (order by o_orderkey) as n from orders")
 def src_counter(t):
-    return bounded.counter(t.spark, bounded.value_of(t.orders, F.count(F.lit(1))), "n")
+    """Orders counted 1, 2, 3 … by their keys."""
+    return numbered(t.orders.select("o_orderkey"), "o_orderkey", [], "n")
 
 
 def drawn(n: str, seed: int, bound: int) -> str:
@@ -125,12 +127,11 @@ def sink_csv(t):
 @query("sink_output_format", """select '(' || event_type || ',' || row_number() over (partition by event_type
   order by event_id) || ')' as value from events""")
 def sink_output_format(t):
-    """Running counts written as tuple texts."""
-    from tidewright.operators.windows import numbered
-
+    """Running counts written as tuple texts, all or none."""
     counts = numbered(t.events.select("event_type", "event_id"), "event_id", ["event_type"], "n")
-    path = files.as_text(counts, new_dir(t.spark, "tuples"), files.tuple_text("event_type", "n"))
-    return bounded.text_lines(t.spark, path)
+    path = new_dir(t.spark, "tuples")
+    transactional.write_lines(counts.select("event_type", "n"), path, transactional.TupleFormatter)
+    return transactional.read_lines(t.spark, path)
 
 
 @query("sink_custom", "select event_type || ',' || event_id as line, true as numbered from events")

@@ -146,17 +146,17 @@ HALF_HOUR_MS = 1_800_000
 @query("late_allowed", f"""with a as (select *, {END} as we, {WMB} from {ARRIVALS}),
   b as (select *, coalesce(we - 1 + {HALF_HOUR_MS} <= wmb, false) as late from a),
   acc as (select *, count(*) over (partition by k, we order by s, event_id rows unbounded preceding) as n,
-    coalesce(wmb >= we - 1, false) as refire from b where not late)
+    coalesce(wmb >= we - 1, false) as refire from b where not late and t is not null)
   select k, we as window_end, 'first' as tag, null::bigint as seq, max(n) as n from acc
     where not refire and we - 1 <= ({LAST_WM}) group by k, we
   union all select k, we, 'refire', event_id, n from acc where refire
-  union all select k, we, 'late', event_id, null from b where late""")
+  union all select k, we, case when t is null then 'untimed' else 'late' end, event_id, null from b where late or t is null""")
 def late_allowed(t):
     return eventtime.with_lateness(t.arrivals(), "k", "t", ORDER, HOUR_MS, HOUR_MS, HALF_HOUR_MS)
 
 
 @query("late_side_output", f"""with a as (select *, {END} as we, {WMB} from {ARRIVALS})
-  select k, event_id, t, we as window_end from a where we - 1 + {HALF_HOUR_MS} <= wmb""")
+  select k, event_id, t, we as window_end from a where t is null or we - 1 + {HALF_HOUR_MS} <= wmb""")
 def late_side_output(t):
     late = eventtime.late_side_output(t.arrivals(), "k", "t", ORDER, HOUR_MS, HOUR_MS, HALF_HOUR_MS)
     return late.select("k", "event_id", "t", "window_end")

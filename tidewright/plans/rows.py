@@ -213,18 +213,23 @@ def fn_now_ms(t):
     return t.events.select("event_id", (scalars.now_ms() > event).alias("after_the_event"))
 
 
-@query("broadcast_lookup", """select l_orderkey, l_linenumber, l_quantity, coalesce(p.p_name, '未知') as p_name
+# What stands for the name of a key that a dimension does not have.
+UNKNOWN = "未知"
+UNKNOWN_STUDENT = "未知学生姓名"
+
+
+@query("broadcast_lookup", f"""select l_orderkey, l_linenumber, l_quantity, coalesce(p.p_name, '{UNKNOWN}') as p_name
   from lineitem l left join (select * from part where p_size <= 40) p on l.l_partkey = p.p_partkey""")
 def broadcast_lookup(t):
     """Parts over size 40 are not in the dimension; every part is put twice, the later one wins."""
     parts = t.part.where(F.col("p_size") <= 40).select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
     puts = parts.withColumn("put", F.lit(2)).unionByName(parts.select("id", F.lit("old").alias("name"), F.lit(1).alias("put")))
     scores = t.lineitem.select(F.col("l_partkey").alias("id"), "l_orderkey", "l_linenumber", "l_quantity")
-    named = lookup.lookup(scores, lookup.last_put_wins(puts, "id", "put"), "id", "name", "未知")
+    named = lookup.lookup(scores, lookup.last_put_wins(puts, "id", "put"), "id", "name", UNKNOWN)
     return named.select("l_orderkey", "l_linenumber", "l_quantity", F.col("name").alias("p_name"))
 
 
-@query("cache_file_lookup", """select c_custkey, coalesce(n_name, '未知学生姓名') as n_name from customer
+@query("cache_file_lookup", f"""select c_custkey, coalesce(n_name, '{UNKNOWN_STUDENT}') as n_name from customer
   left join (select * from nation where n_regionkey <> 1) on c_nationkey = n_nationkey""")
 def cache_file_lookup(t):
     """The dimension is a comma-separated file, made here from ``nation``."""
@@ -235,4 +240,4 @@ def cache_file_lookup(t):
     path = as_csv(nations, new_dir(t.spark, "dimension"))
     dimension = lookup.file_dimension(t.spark, path, "id int, n_name string", ",")
     customers = t.customer.select("c_custkey", F.col("c_nationkey").alias("id"))
-    return lookup.lookup(customers, dimension, "id", "n_name", "未知学生姓名").select("c_custkey", "n_name")
+    return lookup.lookup(customers, dimension, "id", "n_name", UNKNOWN_STUDENT).select("c_custkey", "n_name")

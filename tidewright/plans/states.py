@@ -13,7 +13,7 @@ from tidewright.session import new_dir
 from tidewright.sinks.keyed import upsert_into
 from tidewright.sources.streams import arriving
 from tidewright.sources.tailing import line_tail
-from tidewright.streaming import metrics, rules, state
+from tidewright.streaming import metrics, rules, state, timers
 from tidewright.streaming.buckets import BucketedTable
 from tidewright.streaming.changelog import running_sum_body
 from tidewright.streaming.tables import BatchOutput, drain, run_batches
@@ -49,10 +49,13 @@ def state_value_sum(t):
     return running_sums(t, "value-sum", sums_table(t, "sums"))
 
 
-@query("state_value_ttl", """with a as (select *, lag(ts) over w as prev from events window w as (partition by user_id order by ts, event_id)),
+TTL = """with a as (select *, lag(ts) over w as prev from events window w as (partition by user_id order by ts, event_id)),
   b as (select *, sum(case when prev is null or ts - prev >= interval 12 hour then 1 else 0 end)
     over (partition by user_id order by ts, event_id rows unbounded preceding) as session from a)
-  select event_id, user_id, row_number() over (partition by user_id, session order by ts, event_id) as "count" from b""")
+  select event_id, user_id, row_number() over (partition by user_id, session order by ts, event_id) as "count" from b"""
+
+
+@query("state_value_ttl", TTL)
 def state_value_ttl(t):
     events = t.events.select("event_id", "user_id", "ts")
     return expiry.expiring_counts(events, "user_id", "ts", 12 * 3600, "event_id").drop("ts")
@@ -98,6 +101,17 @@ def tailed_lines(t):
     return rows.select(line(F.col("value")).alias("value")), checkpoint
 
 
+@query("state_value_ttl_stream", TTL)
+def state_value_ttl_stream(t):
+    """The same counts kept by a stream of four batches; the state of a user who is silent goes by a timer."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp")).alias("t")
+    events = t.events.select("event_id", "user_id", micros)
+    low, high = events.agg(F.min("t"), F.max("t")).first()
+    stream = arriving(events, F.floor((F.col("t") - low) * BATCHES / (high - low + 1)), BATCHES)
+    counts = drain(timers.expiring_counts(stream, "user_id", "t", "event_id", 12 * 3600), "ttl")
+    return counts.select(F.col("seq").alias("event_id"), F.col("key").cast("long").alias("user_id"), "count")
+
+
 RULES = """(select n_nationkey as id, n_name || '#' || d as rule, timestamp '2024-01-01' + interval 1 day * d as since
   from nation, range(1, 30) as days(d) where n_regionkey <> d % 5)"""
 

@@ -53,6 +53,16 @@ class Formatter:
         pass
 
 
+class TupleFormatter(Formatter):
+    """A row as text, such as ``(word,2)``."""
+
+    def open(self, partition: int) -> None:
+        pass
+
+    def line(self, row) -> str:
+        return f"({','.join('' if v is None else str(v) for v in row)})"
+
+
 class _Writing:
     """Shared by the batch and the stream writer."""
 

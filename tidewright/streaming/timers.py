@@ -97,3 +97,58 @@ def firing_windows(stream: DataFrame, key: str, time: str, seq: str, size_ms: in
     timed = stream.withColumn("__at", F.timestamp_millis(t)).withWatermark("__at", f"{bound_ms} milliseconds")
     rows = timed.select(F.col(key).cast("string").alias("key"), window_end(t, size_ms).alias("window_end"), F.col(seq).cast("long").alias("seq"))
     return rows.groupBy("key", "window_end").transformWithStateInPandas(FiringWindow(lateness_ms), FIRINGS, "Append", "EventTime")
+
+
+class SilentKey(StatefulProcessor):
+    """Counts of a key that start anew after a silence. Input ``key, t, seq`` (t in microseconds); output ``key, seq, count``.
+
+    A timer a silence after the last row drops the state; it moves with every batch that has rows of the key.
+    """
+
+    def __init__(self, silence: int):
+        self.silence = silence
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "n bigint, last bigint")
+
+    def _timer(self, last: int) -> int:
+        return -(-(last + self.silence) // 1000)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values(["t", "seq"], kind="stable")
+        n, last = self.held.get() if self.held.exists() else (0, None)
+        gap = batch["t"].diff()
+        anew = gap >= self.silence
+        anew.iloc[0] = last is None or int(batch["t"].iloc[0]) - last >= self.silence
+        run = anew.cumsum()
+        count = batch.groupby(run).cumcount() + 1
+        count = count.where(run > 0, count + n)
+        if last is not None:
+            self.handle.deleteTimer(self._timer(last))
+        last = max(int(batch["t"].iloc[-1]), last if last is not None else int(batch["t"].iloc[-1]))
+        self.held.update((int(count.iloc[-1]), last))
+        self.handle.registerTimer(self._timer(last))
+        yield pd.DataFrame({"key": pd.Series([key[0]] * len(batch), dtype=object), "seq": batch["seq"].to_numpy(), "count": count.to_numpy()})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.held.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def expiring_counts(stream: DataFrame, key: str, time: str, seq: str, silence_seconds: int, bound: str = "0 seconds") -> DataFrame:
+    """``key``, ``seq`` and ``count``: the running count of each key, which starts anew after a silence of event time.
+
+    ``time`` is in microseconds. Rows come in the order of their time over batches, and are put in order by time and ``seq``
+    within one; the rows of a key in a batch are one task's. A key that stays silent longer has no state. This is the stream
+    form of ``operators.state.expiring_counts``. Rows without a time are left out.
+    """
+    use_rocksdb(stream.sparkSession)
+    t = F.col(time).cast("long")
+    timed = stream.where(t.isNotNull()).withColumn("__at", F.timestamp_micros(t)).withWatermark("__at", bound)
+    rows = timed.select(F.col(key).cast("string").alias("key"), t.alias("t"), F.col(seq).cast("long").alias("seq"))
+    processor = SilentKey(silence_seconds * 1_000_000)
+    return rows.groupBy("key").transformWithStateInPandas(processor, "key string, seq bigint, count bigint", "Append", "EventTime")
