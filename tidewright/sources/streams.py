@@ -35,9 +35,10 @@ def arriving(df: DataFrame, batch: Column, batches: int, files: int = 1) -> Data
     dealt = df.withColumn("__batch", F.least(F.greatest(F.coalesce(batch.cast("int"), F.lit(0)), F.lit(0)), F.lit(batches - 1))).repartition(batches * files, "__batch", spread)
     dealt.write.partitionBy("__batch").parquet(f"{base}/sorted")
     rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__batch", T.IntegerType())])).parquet(f"{base}/sorted")
+    sizes = dict(tuple(r) for r in rows.groupBy("__batch").count().collect())
     for number in range(batches):
         part = rows.where(F.col("__batch") == number).drop("__batch")
-        size = part.count()
+        size = sizes.get(number, 0)
         if 0 < size < files:
             raise ValueError(f"batch {number} has {size} rows for {files} files")
         if size:
