@@ -67,15 +67,20 @@ def stretches(texts: pa.Array, most: int = STRETCH) -> Iterator[tuple[int, int,
         row = end
 
 
-def word_hashes(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each word ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered, and where the words of each row begin."""
+def word_starts(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word ``[^\\x20\\x09-\\x0D]+`` begins in the bytes, and where the words of each row begin."""
     inside = ~_BLANK[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     begins = places[:-1][places[:-1] < len(data)]
     first[begins] = inside[begins]
     starts = np.flatnonzero(first)
-    rows = np.searchsorted(starts, places)
+    return starts, np.searchsorted(starts, places)
+
+
+def word_hashes(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered, and where the words of each row begin."""
+    starts, rows = word_starts(data, places)
     if not len(starts):
         return np.zeros(0, np.uint64), rows
     up, down = _power_tables(len(data))

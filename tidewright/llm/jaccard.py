@@ -28,6 +28,8 @@ SAMPLE, FREQUENT = 64, 1 << 16
 COUNTED, RARE = 2, 111
 #: Prefixes are longer by this part of a set: one token in common is not enough then to ask a group.
 MORE = 0.05
+#: Tokens that are counted together on average.
+BUCKET = 1 << 20
 #: Sets and tokens of a group; queries that a group is opened for at a time.
 GROUP_SETS, GROUP_TOKENS, QUERIES = 256, 1 << 20, 4096
 #: Documents whose places are broadcast; more are joined by a shuffle.
@@ -35,21 +37,30 @@ PLACES = 1_000_000
 
 
 def _sets(texts: pa.Array):
-    """First row and the distinct shingle hashes of each row, for stretches of rows."""
+    """For stretches of rows: the first row, the distinct shingle hashes of all its rows, sorted within a row, and where each row begins."""
     for a, b, data, places in stretches(texts):
         words, rows = word_hashes(data, places)
         found, begin = shingle_hashes(words, rows, SHINGLE)
-        yield a, [np.unique(found[begin[i] : begin[i + 1]]) for i in range(b - a)]
+        for i, j in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+            found[i:j].sort()
+        new = np.ones(len(found), bool)
+        new[1:] = found[1:] != found[:-1]
+        new[begin[:-1][np.diff(begin) > 0]] = True
+        yield a, found[new], np.concatenate([[0], np.cumsum(new)])[begin]
 
 
-def _marks(tokens: np.ndarray) -> tuple[int, int]:
-    """Two numbers that stand for a set of tokens."""
-    return tuple(int(mixed(tokens ^ np.uint64(c)).sum(dtype=np.uint64).astype(np.int64)) for c in (0x51ED270B, 0xA24BAED4963EE407))
+def _marks(tokens: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """Two numbers for each row that stand for its set of tokens."""
+    out = []
+    for c in (0x51ED270B, 0xA24BAED4963EE407):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(tokens ^ np.uint64(c)), dtype=np.uint64)])
+        out.append(signed(sums[begin[1:]] - sums[begin[:-1]]))
+    return out
 
 
 def _codes(tokens: np.ndarray) -> np.ndarray:
-    """Whether a token is outside the counted part (bit 62), and 55 bits of its hash."""
-    return (tokens % np.uint64(5) >= COUNTED).astype(np.uint64) << np.uint64(62) | mixed(tokens) >> np.uint64(9)
+    """Whether a token is outside the counted part (bit 62), and 55 bits of it, which is a hash itself."""
+    return (tokens % np.uint64(5) >= COUNTED).astype(np.uint64) << np.uint64(62) | tokens >> np.uint64(9)
 
 
 def _needed(n, percent: int):
@@ -72,8 +83,8 @@ def frequent_tokens(documents: DataFrame, text: str = "text", key: str = "doc_id
     rows = documents.where(F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(SAMPLE)) == 0).select(F.col(f"`{text}`").alias("text"))
 
     def run(part: pa.RecordBatch):
-        for _, sets in _sets(part.column("text")):
-            found, c = np.unique(_codes(np.concatenate(sets)), return_counts=True)
+        for _, tokens, _ in _sets(part.column("text")):
+            found, c = np.unique(_codes(tokens), return_counts=True)
             yield [signed(found), c]
 
     counts = map_batches(rows, run, "token long, c long").groupBy("token").agg(F.sum("c").alias("c")).where("c > 1")
@@ -83,22 +94,27 @@ def frequent_tokens(documents: DataFrame, text: str = "text", key: str = "doc_id
     return code[order], np.minimum(RARE + 1 + np.log2(np.maximum(c[order], 1)).astype(np.int64), 127).astype(np.uint64)
 
 
-def _leading(tokens: np.ndarray, frequent, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of a set that its prefix may hold: those to be counted, and the frequent ones with their rank.
+def _leading(tokens: np.ndarray, begin: np.ndarray, frequent, percent: int):
+    """Codes that the prefix of each row may hold, and their rows: those to be counted, then the frequent ones with their rank.
 
     These are all of the counted part and, if they are too few for the prefix, the next by hash.
     """
     often, rank = frequent
+    n = np.diff(begin)
     codes = _codes(tokens)
-    codes.sort()
-    inner = int(np.searchsorted(codes, np.uint64(1) << np.uint64(62)))
-    codes = codes[: max(inner, _needed(len(tokens), percent) + int(MORE * len(tokens)) if len(tokens) else 0)]
+    outer = codes >> np.uint64(62) != 0
+    inner = np.concatenate([[0], np.cumsum(~outer)])
+    lack = np.where(n > 0, _needed(n, percent) + (MORE * n).astype(np.int64), 0) - np.diff(inner[begin])
+    before = np.arange(len(codes)) - inner[:-1] - np.repeat(begin[:-1] - inner[begin[:-1]], n)
+    take = ~outer | (before < np.repeat(lack, n))
+    codes, row = codes[take], np.repeat(np.arange(len(n)), n)[take]
     if not len(often):
-        return codes, codes[:0]
+        return codes, row, codes[:0], row[:0]
     at = np.minimum(np.searchsorted(often, codes), len(often) - 1)
     is_often = often[at] == codes
     ranked = codes[is_often]
-    return codes[~is_often], np.where(ranked >> np.uint64(62), ranked, ranked | rank[at[is_often]] << np.uint64(55))
+    ranked = np.where(ranked >> np.uint64(62), ranked, ranked | rank[at[is_often]] << np.uint64(55))
+    return codes[~is_often], row[~is_often], ranked, row[is_often]
 
 
 def fingerprints(documents: DataFrame, frequent, text: str = "text", key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
@@ -106,29 +122,62 @@ def fingerprints(documents: DataFrame, frequent, text: str = "text", key: str =
     rows = documents.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
 
     def run(part: pa.RecordBatch):
-        for a, sets in _sets(part.column("text")):
-            marks = [_marks(s) for s in sets]
-            leading = [_leading(s, frequent, percent) for s in sets]
-            begin = np.concatenate([[0], np.cumsum([len(f) for _, f in leading])])
+        for a, tokens, begin in _sets(part.column("text")):
+            n = len(begin) - 1
+            _, row, ranked, of_row = _leading(tokens, begin, frequent, percent)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(of_row, minlength=n))])
             yield [
-                part.column("id").slice(a, len(sets)), [len(s) for s in sets], [m[0] for m in marks], [m[1] for m in marks],
-                [len(c) for c, _ in leading], lists(signed(np.concatenate([f for _, f in leading])), begin, pa.int64()),
+                part.column("id").slice(a, n), np.diff(begin), *_marks(tokens, begin), np.bincount(row, minlength=n),
+                lists(signed(ranked), ends, pa.int64()),
             ]
 
     return map_batches(rows, run, "id long, n long, m1 long, m2 long, counted long, frequent array<long>")
 
 
-def _counted(documents: DataFrame, frequent, text: str, key: str, percent: int) -> DataFrame:
-    """``token`` and ``id`` for each token that is to be counted; none of them is frequent."""
+def _blocks(values: np.ndarray, begin: np.ndarray) -> pa.Array:
+    """Runs of 64-bit numbers as an Arrow binary column."""
+    return pa.Array.from_buffers(pa.binary(), len(begin) - 1, [None, pa.py_buffer((8 * begin).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _counted(documents: DataFrame, frequent, text: str, key: str, percent: int, total: int) -> DataFrame:
+    """``id`` and ``token`` for each token that is to be counted and that several rows have, with its count in its rank.
+
+    The ``total`` tokens are dealt by hash into buckets of about ``BUCKET``, as blocks of a bucket for each stretch of rows. None of
+    them is frequent, so no bucket is hot.
+    """
     rows = documents.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")).where("id is not null")
+    buckets = max(1, -(-total // BUCKET))
 
-    def run(part: pa.RecordBatch):
+    def deal(part: pa.RecordBatch):
         ids = np.asarray(part.column("id"))
-        for a, sets in _sets(part.column("text")):
-            leading = [_leading(s, frequent, percent)[0] for s in sets]
-            yield [signed(np.concatenate(leading)), np.repeat(ids[a : a + len(sets)], [len(c) for c in leading])]
-
-    return map_batches(rows, run, "token long, id long")
+        codes, of = [], []
+        for a, tokens, begin in _sets(part.column("text")):
+            code, row, _, _ = _leading(tokens, begin, frequent, percent)
+            codes.append(code)
+            of.append(ids[a + row])
+        codes, of = np.concatenate([np.zeros(0, np.uint64), *codes]), np.concatenate([np.zeros(0, np.int64), *of])
+        bucket = (codes % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        names, at = np.unique(bucket[order], return_index=True)
+        at = np.append(at, len(order))
+        yield [names, _blocks(codes[order], at), _blocks(of[order], at)]
+
+    kinds = T.StructType.fromDDL("id long, token long")
+
+    def count(parts):
+        for table in by_group(parts, ("bucket",)):
+            code, of = (np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for chunk in table.column(c).chunks for x in chunk]) for c in ("codes", "ids"))
+            order = np.argsort(code)
+            code = code[order]
+            head = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+            c = np.diff(np.append(head, len(code)))
+            c = np.repeat(c, c)
+            several = c > 1
+            code, c = code[several], c[several]
+            yield batch(kinds, [of[order][several], np.where(code >> 62 != 0, code, code | np.minimum(c, RARE) << 55)])
+
+    blocks = map_batches(rows, deal, "bucket int, codes binary, ids binary")
+    return blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, kinds)
 
 
 def _prefixes(documents: DataFrame, prints: DataFrame, frequent, text: str, key: str, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -136,11 +185,8 @@ def _prefixes(documents: DataFrame, prints: DataFrame, frequent, text: str, key:
 
     The tokens go through one shuffle, in which each is counted. Frequent ones stay out of it, so no token is hot there.
     """
-    c = F.count("*").over(Window.partitionBy("token"))
-    found = _counted(documents, frequent, text, key, percent).withColumn("c", c).where("c > 1")
-    outer = F.shiftright("token", 62) == 1
-    code = F.when(outer, F.col("token")).otherwise(F.col("token").bitwiseOR(F.shiftleft(F.least("c", F.lit(RARE)), 55)))
-    found = materialise(found.select("id", code.alias("token")), "counted")
+    total = prints.where("id is not null").agg(F.coalesce(F.sum("counted"), F.lit(0))).first()[0]
+    found = materialise(_counted(documents, frequent, text, key, percent, total), "counted")
     own = found.groupBy("id").agg(F.count("*").alias("shared"))
     sets = prints.where("n > 0 and id is not null").groupBy("id").agg(F.max("n").alias("n"), F.min("counted").alias("counted"), F.max(F.size("frequent")).alias("often"))
     needed = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
@@ -149,8 +195,8 @@ def _prefixes(documents: DataFrame, prints: DataFrame, frequent, text: str, key:
     more = _more(_step(F.col("n"), percent), percent)
     take = sets.join(own, "id", "left").where((take > 0) & (there > more)).select("id", (take + more).alias("take"))
     often = prints.where("n > 0 and id is not null").select("id", F.explode("frequent").alias("token"))
-    place = F.row_number().over(Window.partitionBy("id").orderBy("token"))
-    return found.union(often).join(take, "id").distinct().withColumn("place", place).where(F.col("place") <= F.col("take")).select("id", "token"), found
+    place = F.dense_rank().over(Window.partitionBy("id").orderBy("token"))
+    return found.union(often).join(take, "id").withColumn("place", place).where(F.col("place") <= F.col("take")).select("id", "token"), found
 
 
 class _Group:
@@ -277,10 +323,10 @@ def similar_components(documents: DataFrame, text: str = "text", key: str = "doc
 
     def full(part: pa.RecordBatch):
         m1 = np.asarray(part.column("m1"))
-        for a, found in _sets(part.column("text")):
-            right = [i for i, s in enumerate(found) if _marks(s)[0] == m1[a + i]]
-            taken = part.take(pa.array([a + i for i in right], pa.int64()))
-            yield [*(taken.column(c) for c in ("id", "home", "place", "places", "leader")), [found[i].tobytes() for i in right]]
+        for a, tokens, begin in _sets(part.column("text")):
+            right = np.flatnonzero(_marks(tokens, begin)[0] == m1[a : a + len(begin) - 1])
+            taken = part.take(pa.array(a + right))
+            yield [*(taken.column(c) for c in ("id", "home", "place", "places", "leader")), [tokens[begin[i] : begin[i + 1]].tobytes() for i in right]]
 
     members = materialise(map_batches(texts, full, "id long, home long, place long, places long, leader long, tokens binary"), "members")
     parts = materialise(_within(members, percent), "parts")

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidewright.llm.common import batch, by_group, small_batches
+from tidewright.llm.common import batch, by_group, map_batches, stretches, word_starts
 from tidewright.llm.jaccard import similar_components
 from tidewright.session import materialise
 
@@ -85,9 +85,7 @@ def pack(
     Rows are dealt by a hash into sets of about ``TOGETHER`` rows, each packed in a task with one row of memory for each
     document, so neither a hot source nor a hot cluster gathers anywhere; its rows are dealt like all others.
     """
-    small_batches(documents.sparkSession)
     text = F.col("text")
-    words = F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
     cluster = F.xxhash64(text) if cluster is None else cluster
     if near:
         cluster = F.coalesce(F.col(f"`{key}`").cast("long"), -1 - F.shiftrightunsigned(F.xxhash64(text), 1))
@@ -95,13 +93,21 @@ def pack(
         copies = copies.groupBy(F.col("id").alias("cluster")).agg(F.min("component_id").alias("component"))
     row = F.monotonically_increasing_id()
     name = F.when(F.col(f"`{source}`").isNull(), F.lit(-1)).otherwise(F.shiftrightunsigned(F.xxhash64(F.col(f"`{source}`")), 1))
-    alone = F.when(text.isNull() | cluster.isNull() | (words == 0), F.xxhash64(row, F.lit(3))).otherwise(cluster)
-    rows = documents.select(row.alias("row"), F.col(f"`{key}`").alias("key"), words.alias("n"), name.alias("source"), alone.alias("cluster"))
+    kind = documents.select(F.col(f"`{key}`")).schema[0].dataType.simpleString()
+    rows = documents.select(row.alias("row"), F.col(f"`{key}`").alias("key"), name.alias("source"), cluster.cast("long").alias("cluster"), text.alias("text"))
+
+    def sized(part: pa.RecordBatch):
+        for a, b, data, places in stretches(part.column("text")):
+            _, begin = word_starts(data, places)
+            yield [*(part.column(c).slice(a, b - a) for c in ("row", "key", "source", "cluster")), np.diff(begin)]
+
+    rows = map_batches(rows, sized, f"row long, key {kind}, source long, cluster long, n long")
+    alone = F.when(F.col("cluster").isNull() | (F.col("n") == 0), F.xxhash64("row", F.lit(3))).otherwise(F.col("cluster"))
+    rows = rows.select("row", "key", "n", "source", alone.alias("cluster"))
     if near:
         rows = rows.join(copies, "cluster", "left").select("row", "key", "n", "source", F.coalesce("component", "cluster").alias("cluster"))
     rows = materialise(rows, "sizes")
     sets = max(1, -(-rows.count() // TOGETHER))
-    kind = rows.schema["key"].dataType.simpleString()
     schema = T.StructType.fromDDL(f"key {kind}, piece long, begins long, n_words long, bin_id long, offset long")
 
     def run(parts):
