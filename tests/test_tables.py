@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewright.operators import heavy
 from tidewright.session import new_dir
+from tidewright.sources import streams
 from tidewright.sources.streams import arriving
 from tidewright.streaming import rules, state, watermark
 from tidewright.streaming.buckets import BucketedTable
@@ -177,3 +178,20 @@ def test_a_frequent_key_is_spread(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(sizes) == 60_000 and max(sizes) < 45_000
+
+
+def test_a_replayed_batch_is_dealt_over_files_by_its_size(spark, monkeypatch):
+    """No task reads a whole batch; a small batch has as many files as the largest and stays one of its own."""
+    monkeypatch.setattr(streams, "FILE_BYTES", 4000, raising=False)
+    data = [(i, 0 if i < 2000 else 1 if i < 2002 else 3, str(random.Random(i).random())) for i in range(3000)] + [(-1, None, "null")]
+    written = spark.createDataFrame(data, "id int, b int, text string")
+    seen = []
+
+    def body(batch, number):
+        by_file = batch.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()
+        seen.append((sorted({r.b for r in batch.collect()}, key=repr), sum(r.n for r in by_file), len(by_file), max(r.n for r in by_file)))
+
+    run_batches(arriving(written, F.col("b"), 4), body, new_dir(spark, "dealt"))
+    assert [(b, n) for b, n, _, _ in seen] == [([0, None], 2001), ([1], 2), ([3], 998)]
+    assert seen[0][2] >= 8 and seen[0][3] < 400
+    assert seen[1][2] <= 2

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewright.functions.text import is_blank, line
-from tidewright.session import new_dir
+from tidewright.session import new_dir, shuffles_removed
+from tidewright.streaming.tables import Folder
 
 
 def glob(path: str) -> str:
@@ -22,29 +23,36 @@ def table_stream(spark: SparkSession, path: str, files_per_batch: int | None = N
     return reader.parquet(glob(path))
 
 
-def arriving(df: DataFrame, batch: Column, batches: int, files: int = 1) -> DataFrame:
+#: Bytes of Parquet in a file of a replayed table; a task writes one and reads one.
+FILE_BYTES = 8 << 20
+
+
+def arriving(df: DataFrame, batch: Column, batches: int, files: int | None = None) -> DataFrame:
     """``df`` as a stream of ``batches`` batches: ``batch``, from 0, tells when a row arrives. Batches without rows are left out.
 
     A row whose batch is null comes with the first, one beyond the last with the last.
     For replaying a table whose rows have an arrival order. The rows are written to the shared folder once by their batch and
     then put into the watched folder one batch after the other, each in ``files`` files; a batch of the stream is so many.
+    By default there are as many as the largest batch needs for files of ``FILE_BYTES``. A batch with too few rows to fill its
+    files has empty ones.
     """
     spark = df.sparkSession
     base = new_dir(spark, "arriving")
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files))
-    dealt = df.withColumn("__batch", F.least(F.greatest(F.coalesce(batch.cast("int"), F.lit(0)), F.lit(0)), F.lit(batches - 1))).repartition(batches * files, "__batch", spread)
-    dealt.write.partitionBy("__batch").parquet(f"{base}/sorted")
+    place = F.least(F.greatest(F.coalesce(batch.cast("int"), F.lit(0)), F.lit(0)), F.lit(batches - 1))
+    df.withColumn("__batch", place).write.partitionBy("__batch").parquet(f"{base}/sorted")
     rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__batch", T.IntegerType())])).parquet(f"{base}/sorted")
-    sizes = dict(tuple(r) for r in rows.groupBy("__batch").count().collect())
-    for number in range(batches):
+    placed, watched = Folder(spark, f"{base}/sorted"), Folder(spark, f"{base}/watched")
+    sizes = {int(name.removeprefix("__batch=")): placed.size(name) for name in placed.names() if name.startswith("__batch=")}
+    files = files or max(1, -(-max(sizes.values(), default=0) // FILE_BYTES))
+    for done, number in enumerate(sorted(sizes), 1):
         part = rows.where(F.col("__batch") == number).drop("__batch")
-        size = sizes.get(number, 0)
-        if 0 < size < files:
-            raise ValueError(f"batch {number} has {size} rows for {files} files")
-        if size:
-            part = part.repartition(files) if files > 1 else part.coalesce(1)
-            part.write.mode("append").parquet(f"{base}/watched")
-    return table_stream(spark, f"{base}/watched", files, df.schema)
+        part = part.repartition(files) if files > 1 else part.coalesce(1)
+        with shuffles_removed(spark):
+            part.write.mode("append").parquet(watched.path)
+        placed.delete(f"__batch={number}")
+        for _ in range(done * files - sum(name.startswith("part-") for name in watched.names())):
+            spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(watched.path)
+    return table_stream(spark, watched.path, files, df.schema)
 
 
 def text_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
