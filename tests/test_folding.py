@@ -149,3 +149,32 @@ def test_fold_of_series(spark, rows):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
     got = winfuncs.reduce_series(df, ["k"], "id", lambda a, b: a + b, "bigint")
     assert rows(got) == rows(df.groupBy("k").agg(F.sum("id")))
+
+
+def test_fold_of_series_calls_the_function_by_batch_not_by_key():
+    """Many keys cost as many calls as the longest needs doublings; each is folded as if it were alone."""
+    calls = []
+
+    def join(a, b):
+        calls.append(len(a))
+        return a + b
+
+    keys = [None if k == 3 else str(k) for k in range(500) for _ in range(k % 9 + 1)]
+    pdf = pd.DataFrame({"k": keys, "v": [f"{i} " for i in range(len(keys))]}).sample(frac=1, random_state=1)
+    folded = winfuncs._by_halves(pdf, ["k"], "v", join)
+    assert len(calls) == 4 and len(folded) == 500
+    for key, part in pdf.groupby("k", dropna=False)["v"]:
+        assert sorted(folded[(None if key != key else key,)].split()) == sorted(v.strip() for v in part)
+    many = winfuncs._pairwise(join, {("a",): 2**60 + 1, ("b",): 0.5, ("c",): 1}, {("a",): 1, ("b",): 1, ("d",): 1})
+    assert many == {("a",): 2**60 + 2, ("b",): 1.5}
+
+
+def test_fold_of_series_over_keys_that_span_tasks_and_batches(spark, rows):
+    df = spark.range(0, 5000, 1, 5).select(F.when(F.col("id") % 700 > 0, F.col("id") % 700).alias("k"), (F.col("id") % 2).alias("l"), "id")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 90)
+    try:
+        got = winfuncs.reduce_series(df, ["k", "l"], "id", lambda a, b: a.where(a > b, b), "bigint", flush_keys=200)
+        assert rows(got) == rows(df.groupBy("k", "l").agg(F.max("id")))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -88,11 +89,6 @@ def aggregate_function(
     hands on its accumulators when it holds ``flush_keys`` of them.
     """
     fields = [f.strip().split()[0] for f in accumulator.split(",")]
-    kinds = {k: df.schema[k].dataType for k in keys}
-    # pandas has whole numbers with nulls as floating point, so these keys go through it as text
-    whole = [k for k in keys if isinstance(kinds[k], T.IntegralType)]
-    key_ddl = ", ".join(f"`{k}` {'string' if k in whole else kinds[k].simpleString()}" for k in keys)
-    schema = f"{key_ddl}, {accumulator}"
 
     def rows_of(held: dict) -> pd.DataFrame:
         return pd.DataFrame([(*k, *a) for k, a in held.items()], columns=[*keys, *fields], dtype=object)
@@ -128,6 +124,16 @@ def aggregate_function(
         if key is not None:
             yield pd.DataFrame([(*key, *acc)], columns=[*keys, *fields], dtype=object)
 
+    return _fold_and_combine(df, keys, value, accumulator, fold, combine)
+
+
+def _fold_and_combine(df: DataFrame, keys: list[str], value: str, accumulator: str, fold: Callable, combine: Callable) -> DataFrame:
+    """``fold`` the rows of each task, deal what it yields by key, then ``combine`` it in the order of the keys."""
+    kinds = {k: df.schema[k].dataType for k in keys}
+    # pandas has whole numbers with nulls as floating point, so these keys go through it as text
+    whole = [k for k in keys if isinstance(kinds[k], T.IntegralType)]
+    key_ddl = ", ".join(f"`{k}` {'string' if k in whole else kinds[k].simpleString()}" for k in keys)
+    schema = f"{key_ddl}, {accumulator}"
     passed = df.withColumns({k: F.col(k).cast("string") for k in whole})
     partial = passed.select(*keys, value).mapInPandas(fold, schema)
     done = partial.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(combine, schema)
@@ -147,26 +153,80 @@ def reduce_function(df: DataFrame, keys: list[str], value: str, function: Callab
     )
 
 
-def reduce_series(df: DataFrame, keys: list[str], value: str, function: Callable, kind: str) -> DataFrame:
+def reduce_series(
+    df: DataFrame, keys: list[str], value: str, function: Callable, kind: str, flush_keys: int = 50_000
+) -> DataFrame:
     """Fold the values of a key with an associative and commutative function of Series.
 
-    ``function`` takes two Series of the same length and combines them element by element. The values of a key in a batch
-    are folded by halves, so it is called once for each doubling and not for each value.
+    ``function`` takes two Series of the same length and combines them element by element. The values of all keys in a batch
+    are folded by halves at once, so it is called once for each doubling of the longest key and not for each key or value.
+    A task hands on its results when it holds ``flush_keys`` of them.
     """
 
-    def add(acc: tuple, values: pd.Series) -> tuple:
-        left = values.reset_index(drop=True)
-        while len(left) > 1:
-            half = len(left) // 2
-            both = pd.Series(function(left[:half], left[half : 2 * half].reset_index(drop=True)))
-            left = pd.concat([both, left[2 * half :]], ignore_index=True)
-        folded = left.tolist()[0]
-        return (folded,) if not acc else (_single(function, acc[0], folded),)
-
-    return aggregate_function(
-        df, keys, value, tuple, add, lambda a, b: (_single(function, a[0], b[0]),), f"{value} {kind}"
-    )
+    def rows_of(folded: dict) -> pd.DataFrame:
+        return pd.DataFrame([(*k, v) for k, v in folded.items()], columns=[*keys, value], dtype=object)
 
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for pdf in batches:
+            new = _by_halves(pdf, keys, value, function)
+            held |= new | _pairwise(function, held, new)
+            if len(held) >= flush_keys:
+                yield rows_of(held)
+                held = {}
+        if held:
+            yield rows_of(held)
 
-def _single(function: Callable, a, b):
-    return pd.Series(function(pd.Series([a]), pd.Series([b]))).tolist()[0]
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Batches come sorted by key, so only the key at the end of a batch can go on."""
+        last: dict = {}
+        for pdf in batches:
+            new = _by_halves(pdf, keys, value, function)
+            done = last | new | _pairwise(function, last, new)
+            last = dict([done.popitem()]) if done else {}
+            if done:
+                yield rows_of(done)
+        if last:
+            yield rows_of(last)
+
+    return _fold_and_combine(df, keys, value, f"{value} {kind}", fold, combine)
+
+
+def _by_halves(pdf: pd.DataFrame, keys: list[str], value: str, function: Callable) -> dict[tuple, object]:
+    """The fold of each key, in the order in which the keys first come: the first half of its values with the second, again and again."""
+    number = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+    order = np.argsort(number, kind="stable")
+    left, number = pdf[value].take(order).reset_index(drop=True), number[order]
+    starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]][: len(number)])
+    heads = pdf[keys].take(order[starts])
+    heads = zip(*[[None if x != x else x for x in heads[k].tolist()] for k in keys], strict=True)
+    folded: list = [None] * len(starts)
+    while len(left):
+        size = np.bincount(number)[number]
+        starts = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+        place = np.arange(len(left)) - np.repeat(starts, size[starts])
+        for i, v in zip(number[size == 1].tolist(), left[size == 1].tolist(), strict=True):
+            folded[i] = v
+        half = size // 2
+        first = np.flatnonzero(place < half)
+        if not len(first):
+            break
+        odd = np.flatnonzero((place == 2 * half) & (size > 1))
+        both = function(left.take(first).reset_index(drop=True), left.take(first + half[first]).reset_index(drop=True))
+        left = pd.concat([pd.Series(both), left.take(odd)], ignore_index=True) if len(odd) else pd.Series(both)
+        number = np.r_[number[first], number[odd]]
+        order = np.argsort(number, kind="stable")
+        left, number = left.take(order).reset_index(drop=True), number[order]
+    return dict(zip(heads, folded, strict=True))
+
+
+def _pairwise(function: Callable, left: dict, right: dict) -> dict:
+    """What both have, combined; values of one type at a time, as a Series of several would change some of them."""
+    kinds: dict = {}
+    for k in left.keys() & right.keys():
+        kinds.setdefault((type(left[k]), type(right[k])), []).append(k)
+    out: dict = {}
+    for same in kinds.values():
+        both = function(pd.Series([left[k] for k in same]), pd.Series([right[k] for k in same]))
+        out |= zip(same, pd.Series(both).tolist(), strict=True)
+    return out
