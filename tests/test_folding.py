@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.operators import folding, winfuncs
+from tidewright.operators import folding, udfs, winfuncs
 
 
 def folds():
@@ -178,3 +178,22 @@ def test_fold_of_series_over_keys_that_span_tasks_and_batches(spark, rows):
         assert rows(got) == rows(df.groupBy("k", "l").agg(F.max("id")))
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_flat_map_hands_on_a_list_in_pieces(monkeypatch, spark):
+    """A batch of rows is never a batch of all their lists."""
+    sizes = []
+
+    class Caught:
+        def select(self, *_):
+            return self
+
+        def mapInPandas(self, run, schema):
+            batches = [pd.DataFrame({"v": [5, 0, 23]}), pd.DataFrame({"v": [1]})]
+            sizes.extend(len(pdf) for pdf in run(iter(batches)))
+
+    udfs.flat_map(Caught(), "v", lambda n: list(range(n)) if n else None, "w", "bigint", chunk_rows=10)
+    assert sum(sizes) == 29 and max(sizes) < 20 and len(sizes) >= 3
+    df = spark.createDataFrame([(5,), (0,), (23,)], "v int")
+    got = udfs.flat_map(df, "v", lambda n: [None if i == 1 else 2**60 + i for i in range(n)], "w", "bigint", chunk_rows=10)
+    assert sorted(r.w or 0 for r in got.collect()) == sorted(0 if i == 1 else 2**60 + i for n in (5, 23) for i in range(n))

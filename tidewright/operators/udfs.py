@@ -28,10 +28,23 @@ def filter_values(df: DataFrame, column: str, keep: Callable[[pd.Series], pd.Ser
     return df.where(F.pandas_udf(keep, "boolean")(F.col(column)))
 
 
-def flat_map(df: DataFrame, column: str, function: Callable[[str], list], name: str, kind: str) -> DataFrame:
-    """Zero or more rows for each row: the function's list, batch by batch, then exploded."""
+def flat_map(df: DataFrame, column: str, function: Callable[[str], list], name: str, kind: str, chunk_rows: int = 10_000) -> DataFrame:
+    """Zero or more rows for each row: the function's list. A task holds one list and ``chunk_rows`` rows before they go on."""
 
-    def lists(values: pd.Series) -> pd.Series:
-        return values.map(function)
+    def rows(found: list) -> pd.DataFrame:
+        return pd.DataFrame({name: pd.Series(found, dtype=object)})
 
-    return df.select(F.explode(F.pandas_udf(lists, f"array<{kind}>")(F.col(column))).alias(name))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found: list = []
+            for value in pdf[column]:
+                made = function(value)
+                for at in range(0, 0 if made is None else len(made), chunk_rows):
+                    found.extend(made[at : at + chunk_rows])
+                    if len(found) >= chunk_rows:
+                        yield rows(found)
+                        found = []
+            if found:
+                yield rows(found)
+
+    return df.select(column).mapInPandas(run, f"`{name}` {kind}")
